@@ -138,15 +138,13 @@ def parse_records(sheet_rows: DataFrame) -> DataFrame:
 
     wide = wide.withColumn("_years", F.coalesce(_years(F.col(columns[METRICS_HEADER])), F.array()))
     sources = {m: columns[m] for m in series} | {LIQUIDITY_SERIES: columns[f"{LIQUIDITY_LABEL} 2"]}
-    entries = F.array(
-        *[
-            F.when(
-                F.col(c).isNotNull() & (F.size("_years") > 0),
-                F.struct(F.lit(m).alias("key"), _series(F.col(c), F.col("_years")).alias("value")),
-            )
-            for m, c in sorted(sources.items())
-        ]
+    found = F.array(
+        *[F.struct(F.lit(m).alias("m"), F.col(c).alias("cells")) for m, c in sorted(sources.items())]
+    )
+    present = F.filter(found, lambda e: e["cells"].isNotNull() & (F.size("_years") > 0))
+    entries = F.transform(
+        present, lambda e: F.struct(e["m"].alias("key"), _series(e["cells"], F.col("_years")).alias("value"))
     )
-    fields["scope_credit_metrics"] = F.map_from_entries(F.array_compact(entries)).cast(METRICS)
+    fields["scope_credit_metrics"] = F.map_from_entries(entries).cast(METRICS)
     order = [f.name for f in RAW_RECORD if f.name != "source_filename"]
     return wide.select("source_filename", *[fields[n].alias(n) for n in order])

@@ -25,25 +25,47 @@ class Rule:
     field: str
     name: str
     passed: Column
-    severity: Column
-    message: Column
+    severity: str | Column
+    message: str | Column
+
+    def has_severity(self, severity: str) -> Column | bool:
+        """Known when the plan is built, unless the severity depends on the row."""
+        return self.severity == severity
+
+    def head(self) -> list[Column]:
+        return [F.lit(self.field).alias("field"), F.lit(self.name).alias("rule")]
 
     def result(self) -> Column:
+        message = F.when(self.passed, "").otherwise(self.message)
         return F.struct(
-            F.lit(self.field).alias("field"),
-            F.lit(self.name).alias("rule"),
-            self.passed.alias("passed"),
-            self.severity.alias("severity"),
-            F.when(self.passed, F.lit("")).otherwise(self.message).alias("message"),
+            *self.head(), self.passed.alias("passed"), _column(self.severity).alias("severity"),
+            message.alias("message"),
+        )
+
+    def failure(self) -> Column:
+        """Null when the rule passed."""
+        details = F.struct(
+            *self.head(), _column(self.severity).alias("severity"),
+            _column(self.message).alias("message"),
         )
+        return F.when(~self.passed, details)
+
+    def failed_as(self, severity: str) -> Column | None:
+        same = self.has_severity(severity)
+        if isinstance(same, bool):
+            return ~self.passed if same else None
+        return ~self.passed & same
+
+
+def _column(value: str | Column) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
 
 
 def rule(
     field: str, name: str, passed: Column, severity: str | Column, message: str | Column
 ) -> Rule:
     """A rule; a predicate that is null counts as failed."""
-    as_col = lambda x: x if isinstance(x, Column) else F.lit(x)
-    return Rule(field, name, F.coalesce(passed, F.lit(False)), as_col(severity), as_col(message))
+    return Rule(field, name, F.coalesce(passed, F.lit(False)), severity, message)
 
 
 def _blank(col: Column) -> Column:
@@ -91,7 +113,7 @@ def in_scale(field: str, scale: Sequence[str], severity: str = WARNING) -> Rule:
 def fraction(field: str, required: bool) -> Rule:
     """The value lies in [0, 1]; null fails only where required."""
     col = F.col(field)
-    severity = F.when(col.isNull() & F.lit(not required), WARNING).otherwise(CRITICAL)
+    severity = CRITICAL if required else F.when(col.isNull(), WARNING).otherwise(CRITICAL)
     message = F.when(col.isNull(), f"{field} is required but missing").otherwise(
         F.concat(F.lit(f"{field} = "), col.cast("string"), F.lit(" must be between 0 and 1"))
     )
@@ -147,15 +169,14 @@ def covers(field: str, present: Column, expected: Sequence[str]) -> Rule:
 # --- evaluation ------------------------------------------------------------------------
 
 
-def _count(flags: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a + b, [f.cast("int") for f in flags], F.lit(0))
+def _count(flags: Sequence[Column | None]) -> Column:
+    return reduce(lambda a, b: a + b, [f.cast("int") for f in flags if f is not None], F.lit(0))
 
 
 def is_valid(rules: Sequence[Rule]) -> Column:
     """No CRITICAL rule failed; true without any rule."""
-    return reduce(
-        lambda a, b: a & b, [r.passed | (r.severity != CRITICAL) for r in rules], F.lit(True)
-    )
+    failed = [r.failed_as(CRITICAL) for r in rules]
+    return reduce(lambda a, b: a & ~b, [f for f in failed if f is not None], F.lit(True))
 
 
 def check_list(rules: Sequence[Rule]) -> Column:
@@ -165,8 +186,7 @@ def check_list(rules: Sequence[Rule]) -> Column:
 
 def failure_list(rules: Sequence[Rule]) -> Column:
     """The failed results of the record as an array."""
-    failed = [F.when(~r.passed, r.result().dropFields("passed")) for r in rules]
-    return F.array_compact(F.array(*failed))
+    return F.array_compact(F.array(*[r.failure() for r in rules]))
 
 
 def checks_long(df: DataFrame, keys: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
@@ -185,8 +205,8 @@ def quality_report(
     """Per record: counts, percentages, status and the list of failures. No shuffle."""
     total = F.lit(len(rules))
     passed = _count([r.passed for r in rules])
-    critical = _count([~r.passed & (r.severity == CRITICAL) for r in rules])
-    warning = _count([~r.passed & (r.severity == WARNING) for r in rules])
+    critical = _count([r.failed_as(CRITICAL) for r in rules])
+    warning = _count([r.failed_as(WARNING) for r in rules])
     required = [r.passed for r in rules if r.name == "not_null"]
     report = df.select(
         *keys,

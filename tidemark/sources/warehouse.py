@@ -41,6 +41,13 @@ _STORED: dict[str, T.StructType] = {
 }
 
 
+def rows(spark: SparkSession, schema: T.StructType, count: int, values: dict | None = None) -> DataFrame:
+    """``count`` rows of constants, typed by ``schema``; needs no Python worker."""
+    known = values or {}
+    columns = [F.lit(known.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0, count, 1, 1).select(*columns)
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -51,8 +58,7 @@ class Warehouse:
     def create(self) -> None:
         """Create the folders that are absent."""
         for name, schema in sorted({**_STORED, "run_events": _EVENT}.items()):
-            empty = self.spark.createDataFrame([], schema)
-            empty.write.mode("ignore").parquet(self.path(name))
+            rows(self.spark, schema, 0).write.mode("ignore").parquet(self.path(name))
 
     # -- writing ------------------------------------------------------------------
 
@@ -68,9 +74,7 @@ class Warehouse:
     # -- runs ---------------------------------------------------------------------
 
     def _event(self, row: dict) -> None:
-        values = [tuple(row.get(f.name) for f in _EVENT.fields)]
-        event = self.spark.createDataFrame(values, _EVENT)
-        event.coalesce(1).write.mode("append").parquet(self.path("run_events"))
+        rows(self.spark, _EVENT, 1, row).write.mode("append").parquet(self.path("run_events"))
 
     def events(self) -> DataFrame:
         return self.spark.read.schema(_EVENT).parquet(self.path("run_events"))
@@ -120,15 +124,15 @@ class Warehouse:
         if name == "dim_company":
             return self.versions().select(*TABLES[name].names)
         schema = T.StructType(_STORED[name].fields + [T.StructField("load_id", T.StringType())])
-        rows = self.spark.read.schema(schema).parquet(self.path(name))
-        return rows.join(self._visible(), "load_id", "left_semi").drop("load_id")
+        stored = self.spark.read.schema(schema).parquet(self.path(name))
+        return stored.join(self._visible(), "load_id", "left_semi").drop("load_id")
 
     def current_versions(self) -> DataFrame:
         """Open versions as the last successful load left them."""
         done = self.events().filter("status = 'success'").agg(F.max_by("load_id", "event_at"))
         load_id = done.first()[0]
         if load_id is None:
-            return self.spark.createDataFrame([], _STORED["dim_company_current"])
+            return rows(self.spark, _STORED["dim_company_current"], 0)
         return self.written("dim_company_current", load_id)
 
     def versions(self) -> DataFrame:

@@ -102,21 +102,22 @@ def canonical_json(df: DataFrame, values: Mapping[str, Column] | list[str]) -> C
         values = {name: F.col(name) for name in values}
     names = sorted(values)
     types = df.select(*[values[n].alias(n) for n in names]).schema
-    texts = [n for n in names if isinstance(types[n].dataType, T.StringType)]
+    texts = {n for n in names if isinstance(types[n].dataType, T.StringType)}
+    none = F.lit(None).cast("string")
     # Texts are encoded in one pass over an array, which keeps wide records small plans.
-    encoded = F.transform(
-        F.array(*[values[n] for n in texts]), lambda t: F.coalesce(json_text(t), F.lit("null"))
+    raw = F.array(
+        *[
+            F.struct(F.lit(f'"{n}":').alias("key"), (values[n] if n in texts else none).alias("text"))
+            for n in names
+        ]
     )
-    pairs = [
-        F.concat(
-            F.lit(f'"{n}":'),
-            F.element_at(encoded, texts.index(n) + 1)
-            if n in texts
-            else _json_value(values[n], types[n].dataType),
-        )
-        for n in names
-    ]
-    return F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
+    done = F.array(
+        *[none if n in texts else _json_value(values[n], types[n].dataType) for n in names]
+    )
+    pairs = F.zip_with(
+        raw, done, lambda r, d: F.concat(r["key"], F.coalesce(d, json_text(r["text"]), F.lit("null")))
+    )
+    return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
 
 
 def content_hash(df: DataFrame, values: Mapping[str, Column] | list[str]) -> Column:

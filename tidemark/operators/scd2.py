@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import round4
 from tidemark.operators.ordered import OrderedGroups
 
 
@@ -73,6 +74,35 @@ def assign_versions(
     return groups.done(carried.withColumnRenamed("_changed", "starts_version"))
 
 
+def continue_versions(
+    incoming: DataFrame,
+    open_versions: DataFrame,
+    entity: Sequence[str],
+    order: Sequence[str],
+    tracked: Sequence[str],
+    incoming_key: str,
+    version_key: str,
+    max_rows: int | None = None,
+) -> DataFrame:
+    """New records with the key of their version, given the versions open so far.
+
+    An open version stands first in its entity's sequence; a record that repeats
+    its tracked values keeps ``version_key``, any other starts a version of its own,
+    known by the record's ``incoming_key``. Only the entities of the batch are read.
+    """
+    names = incoming.select(*entity).distinct()
+    touched = open_versions.join(names, list(entity), "left_semi")
+    base = touched.select(
+        *entity, *tracked, F.col(version_key).alias("_key"), F.lit(False).alias("_new")
+    )
+    new = incoming.withColumn("_key", F.col(incoming_key)).withColumn("_new", F.lit(True))
+    sequence = new.unionByName(base, allowMissingColumns=True)
+    assigned = assign_versions(
+        sequence, entity, ["_new", *order], tracked, F.col("_key"), version_key, max_rows
+    )
+    return assigned.filter("_new").drop("_new", "_key")
+
+
 def current(version_rows: DataFrame) -> DataFrame:
     return version_rows.filter("is_current")
 
@@ -87,8 +117,6 @@ def valid_at(version_rows: DataFrame, moment: Column | datetime) -> DataFrame:
 
 def sorted_named_weights(pairs: Sequence[tuple[Column, Column]]) -> Column:
     """Distinct (name, weight) pairs in sorted order, pairs without a name dropped."""
-    from tidemark.functions.text import round4
-
     structs = [F.struct(n.alias("name"), round4(w).alias("weight")) for n, w in pairs]
     named = F.filter(F.array(*structs), lambda p: F.coalesce(p["name"], F.lit("")) != "")
     return F.array_sort(F.array_distinct(named))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.canonical import content_hash
 from tidemark.functions.text import clean_str, month_number, round4
 from tidemark.operators import rules as R
+from tidemark.operators.lookup import lookup
 from tidemark.operators.reshape import numbered_columns_to_rows
 from tidemark.operators.scd2 import sorted_named_weights, sorted_names
 from tidemark.schemas import (
@@ -80,8 +81,8 @@ def content_fields() -> dict[str, Column]:
 
 def with_mtimes(records: DataFrame, mtimes: DataFrame) -> DataFrame:
     """Adds file_modified_at from (source_filename, file_modified_at); now() where unknown."""
-    return records.join(mtimes, "source_filename", "left").withColumn(
-        "file_modified_at", F.coalesce("file_modified_at", F.current_timestamp())
+    return lookup(
+        records, mtimes, ["source_filename"], {"file_modified_at": F.current_timestamp()}
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import name_list
 from tidemark.operators import filters as flt
 from tidemark.operators.latest import latest_per_key, latest_with_parent
+from tidemark.operators.lookup import left_join_totals
 from tidemark.operators.reshape import nest_children
 from tidemark.schemas import SCORE_COLUMNS
 from tidemark.sources.files import source_file_status
@@ -159,23 +160,29 @@ def upload_stats(
 ) -> DataFrame:
     """Totals over the uploads left-joined to their facts. ``unique_companies`` counts versions.
 
-    With the dimension given, ``unique_entities`` counts names. The facts are
-    counted per (upload, version) before the join.
+    With the dimension given, ``unique_entities`` counts names.
     """
-    pairs = fact_ratings.groupBy("upload_id", "company_id").agg(F.count(F.lit(1)).alias("_n"))
-    if dim_company is not None:
-        pairs = pairs.join(dim_company.select("company_id", "entity_name"), "company_id", "left")
     measures = [
-        F.sum(F.coalesce("_n", F.lit(1))).alias("total_uploads"),
         F.count_distinct("source_filename").alias("unique_files"),
         F.count_distinct("company_id").alias("unique_companies"),
         F.min("loaded_at_utc").alias("earliest_upload"),
         F.max("loaded_at_utc").alias("latest_upload"),
     ]
-    if dim_company is not None:
-        measures.append(F.count_distinct("entity_name").alias("unique_entities"))
-    totals = upload_log.join(pairs, "upload_id", "left").agg(*measures)
-    return totals.withColumn("total_uploads", F.coalesce("total_uploads", F.lit(0)))
+    facts = fact_ratings.select("upload_id", "company_id")
+    stats = left_join_totals(
+        upload_log, facts, "upload_id", "company_id", measures, "total_uploads"
+    )
+    if dim_company is None:
+        return stats
+    entities = (
+        facts.select("company_id").distinct()
+        .join(dim_company.select("company_id", "entity_name"), "company_id", "left")
+        .agg(F.count_distinct("entity_name").alias("unique_entities"))
+    )
+    # two single rows side by side
+    return stats.withColumn("_one", F.lit(1)).join(
+        entities.withColumn("_one", F.lit(1)), "_one"
+    ).drop("_one")
 
 
 def upload_details(

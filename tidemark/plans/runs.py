@@ -13,7 +13,7 @@ from tidemark.operators import rules as R
 from tidemark.operators.dedup import new_content
 from tidemark.operators.kvsheet import parse_records
 from tidemark.operators.ordered import OrderedGroups, dense_ids
-from tidemark.operators.scd2 import assign_versions
+from tidemark.operators.scd2 import continue_versions
 from tidemark.plans import ratings
 from tidemark.schemas import TABLES
 from tidemark.sources.files import modified_since
@@ -114,9 +114,11 @@ def load_normalised(warehouse: Warehouse, normalised: DataFrame, run: dict) -> i
     new = ratings.with_dimension_columns(timed).withColumn("dag_run_id", F.lit(run["dag_run_id"]))
 
     open_versions = warehouse.current_versions()
-    entities = fresh.select(F.col("rated_entity").alias("entity_name")).distinct()
-    touched = open_versions.join(entities, "entity_name", "left_semi")
-    warehouse.write("accepted", with_versions(new, touched), load_id)
+    versioned = continue_versions(
+        new, open_versions, ["entity_name"], ["loaded_at_utc"], ratings.TRACKED,
+        "upload_id", "company_id",
+    )
+    warehouse.write("accepted", versioned, load_id)
     accepted = warehouse.spark.read.parquet(f"{warehouse.path('accepted')}/load_id={load_id}")
 
     closed, still_open = next_versions(open_versions, accepted)
@@ -137,26 +139,6 @@ def load_normalised(warehouse: Warehouse, normalised: DataFrame, run: dict) -> i
     return accepted.count()
 
 
-def with_versions(new: DataFrame, touched: DataFrame) -> DataFrame:
-    """New records with the key of their version, given the open versions of their entities.
-
-    An open version stands first in its entity's sequence; a record that repeats
-    its tracked values keeps its key, any other starts a version of its own.
-    """
-    columns = ["entity_name", *ratings.TRACKED]
-    base = touched.select(
-        *columns, F.col("valid_from").alias("loaded_at_utc"),
-        F.col("company_id").alias("_key"), F.lit(False).alias("_new"),
-    )
-    incoming = new.withColumn("_key", F.col("upload_id")).withColumn("_new", F.lit(True))
-    sequence = incoming.unionByName(base, allowMissingColumns=True)
-    assigned = assign_versions(
-        sequence, ["entity_name"], ["_new", "loaded_at_utc"], ratings.TRACKED, F.col("_key"),
-        "company_id",
-    )
-    return assigned.filter("_new").drop("_new", "_key")
-
-
 def next_versions(open_versions: DataFrame, accepted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(versions closed by this load, all versions open after it)."""
     columns = [*TABLES["dim_company"].names, "risks", "methodologies"]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as tx
 from tidemark.functions.canonical import content_hash
-from tidemark.operators import audit, dedup, kvsheet, latest, lookup, reshape, rules, scd2
+from tidemark.operators import audit, dedup, kvsheet, latest, lookup, reshape, scd2
 from tidemark.operators import filters as flt
 from tidemark.operators.ordered import dense_ids
 from tidemark.sources.files import source_file_status
@@ -934,4 +934,4 @@ def changed_since_watermark(t: Tables) -> DataFrame:
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate").orderBy("l_shipdate")
 
 
-__all__ = ["QUERIES", "SQL", "Tables", "query", "rules"]
+__all__ = ["QUERIES", "SQL", "Tables", "query"]

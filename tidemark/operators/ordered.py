@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows of one group that a single task may sort.
 MAX_ROWS_PER_TASK = 4_000_000
@@ -103,7 +104,7 @@ class OrderedGroups:
         plan = [
             (*[r[k] for k in self.keys], -(-r["n"] // rows_per_chunk), r["n"]) for r in heavy
         ]
-        schema = df.select(*self.keys).schema.add("chunks", "int").add("n", "long")
+        schema = df.select(*self.keys).schema.add("chunks", T.IntegerType()).add("n", T.LongType())
         wanted = self._aliased(df.sparkSession.createDataFrame(plan, schema))
         chance = F.col("chunks") * _SAMPLES_PER_CHUNK / F.col("n")
         sample = (

@@ -7,16 +7,19 @@ Numbers keep the distinction between ``2`` and ``2.0``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# anything but printable ASCII without quote and backslash
+_NEEDS_ESCAPE = r"[^ !#-\[\]-~]"
+
+
 def json_text(col: Column) -> Column:
     """A JSON string literal in ASCII."""
-    plain = F.regexp_replace(col, r'(["\\])', r"\\$1")
     # Rare path: split the UTF-16 form into 4-digit units and escape each one.
     units = F.regexp_extract_all(
         F.lower(F.hex(F.encode(col, "UTF-16BE"))), F.lit("([0-9a-f]{4})"), F.lit(1)
@@ -33,8 +36,7 @@ def json_text(col: Column) -> Column:
         return chain.otherwise(F.concat(F.lit("\\u"), u))
 
     escaped = F.array_join(F.transform(units, unit), "")
-    body = F.when(col.rlike(r"[^\x20-\x7e]"), escaped).otherwise(plain)
-    return F.concat(F.lit('"'), body, F.lit('"'))
+    return _quoted(F.when(col.rlike(_NEEDS_ESCAPE), escaped).otherwise(col))
 
 
 def json_number(col: Column) -> Column:
@@ -67,29 +69,34 @@ def json_number(col: Column) -> Column:
         .when(exponent.between(-4, -1), small)
         .otherwise(F.concat(mantissa, power)),
     )
-    return F.when(F.isnan(col), "NaN").when(exponent.isNotNull(), rewritten).otherwise(text)
+    return F.when(F.isnan(col), "NaN").when(text.contains("E"), rewritten).otherwise(text)
+
 
+def _quoted(col: Column) -> Column:
+    """A JSON string literal of a text that needs no escape."""
+    return F.concat(F.lit('"'), col, F.lit('"'))
 
-def _json_value(col: Column, dtype: T.DataType) -> Column:
+
+def _json_value(col: Column, dtype: T.DataType, text: Callable[[Column], Column]) -> Column:
     if isinstance(dtype, T.StringType):
-        value = json_text(col)
+        value = text(col)
     elif isinstance(dtype, (T.DoubleType, T.FloatType)):
         value = json_number(col.cast("double"))
     elif isinstance(dtype, (T.IntegralType, T.BooleanType)):
         value = col.cast("string")
     elif isinstance(dtype, T.StructType) and dtype.names == ["kind", "text"]:
         # a sheet cell: numbers and booleans already hold their JSON text
-        value = F.when(col["kind"] == "s", json_text(col["text"])).otherwise(col["text"])
+        value = F.when(col["kind"] == "s", text(col["text"])).otherwise(col["text"])
     elif isinstance(dtype, T.MapType):
         entries = F.transform(
             F.array_sort(F.map_keys(col)),
             lambda key: F.concat(
-                json_text(key), F.lit(":"), _json_value(F.element_at(col, key), dtype.valueType)
+                text(key), F.lit(":"), _json_value(F.element_at(col, key), dtype.valueType, text)
             ),
         )
         value = F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}"))
     else:  # dates, timestamps, decimals: their text
-        value = json_text(col.cast("string"))
+        value = _quoted(col.cast("string"))
     return F.coalesce(value, F.lit("null"))
 
 
@@ -97,27 +104,32 @@ def canonical_json(df: DataFrame, values: Mapping[str, Column] | list[str]) -> C
     """Canonical JSON object of the given columns, keys in sorted order.
 
     ``values`` is a list of column names or a mapping of JSON key to Column.
+    Records without a character that needs an escape, nearly all of them, are
+    recognised with one test per record and joined by plain concatenation.
     """
     if not isinstance(values, Mapping):
         values = {name: F.col(name) for name in values}
     names = sorted(values)
-    types = df.select(*[values[n].alias(n) for n in names]).schema
-    texts = {n for n in names if isinstance(types[n].dataType, T.StringType)}
+    types = {f.name: f.dataType for f in df.select(*[values[n].alias(n) for n in names]).schema}
+    texts = {n for n in names if isinstance(types[n], T.StringType)}
+    maps = [n for n in names if isinstance(types[n], T.MapType)]
+    keys = {n: F.lit(f'"{n}":') for n in names}
+
+    plain = [F.concat(keys[n], _json_value(values[n], types[n], _quoted)) for n in names]
+    # The other path encodes all texts in one pass over an array, which keeps the plan small.
     none = F.lit(None).cast("string")
-    # Texts are encoded in one pass over an array, which keeps wide records small plans.
     raw = F.array(
-        *[
-            F.struct(F.lit(f'"{n}":').alias("key"), (values[n] if n in texts else none).alias("text"))
-            for n in names
-        ]
-    )
-    done = F.array(
-        *[none if n in texts else _json_value(values[n], types[n].dataType) for n in names]
+        *[F.struct(keys[n].alias("key"), (values[n] if n in texts else none).alias("text")) for n in names]
     )
-    pairs = F.zip_with(
+    done = F.array(*[none if n in texts else _json_value(values[n], types[n], json_text) for n in names])
+    escaped = F.zip_with(
         raw, done, lambda r, d: F.concat(r["key"], F.coalesce(d, json_text(r["text"]), F.lit("null")))
     )
-    return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+    seen = [values[n] for n in sorted(texts)] + [values[n].cast("string") for n in maps]
+    body = F.when(
+        F.concat_ws("", *seen).rlike(_NEEDS_ESCAPE), F.array_join(escaped, ",")
+    ).otherwise(F.concat_ws(",", *plain))
+    return F.concat(F.lit("{"), body, F.lit("}"))
 
 
 def content_hash(df: DataFrame, values: Mapping[str, Column] | list[str]) -> Column:

@@ -103,14 +103,13 @@ def _series(cells: Column, years: Column) -> Column:
 
 
 def parse_records(sheet_rows: DataFrame) -> DataFrame:
-    """One typed record per sheet.
+    """One typed record per sheet; text cells come stripped, as the sources give them.
 
     Labels repeat: the last row wins, except for the liquidity label, whose first
     row is the notch adjustment and whose second is a time series.
     """
-    rows = strip_cells(sheet_rows)
     label = F.try_element_at("cells", F.lit(KEY_COLUMN + 1))["text"]
-    keyed = rows.withColumn("label", clean_str(label))
+    keyed = sheet_rows.withColumn("label", clean_str(label))
     file = ["source_filename"]
     is_liquidity = F.col("label").eqNullSafe(F.lit(LIQUIDITY_LABEL))
     numbered = first_occurrences(keyed.filter(is_liquidity), file, ["row_idx"], 2, "nth")
@@ -121,25 +120,35 @@ def parse_records(sheet_rows: DataFrame) -> DataFrame:
     )
 
     series = [m for m in EXPECTED_METRICS if m != LIQUIDITY_SERIES]
-    wanted = sorted({text for text, _ in SHEET_LABELS.values()}) + series + [METRICS_HEADER]
-    wanted += [f"{LIQUIDITY_LABEL} 1", f"{LIQUIDITY_LABEL} 2"]
-    columns = {text: f"c{i}" for i, text in enumerate(wanted)}
-    wide = pivot_last(slots, file, "label", "row_idx", F.col("cells"), columns)
+    notch, second = f"{LIQUIDITY_LABEL} 1", f"{LIQUIDITY_LABEL} 2"
+    wanted = {text for text, _ in SHEET_LABELS.values()} | {*series, METRICS_HEADER, notch, second}
+    known = F.when(F.col("label").isin(sorted(wanted)), F.col("label")).otherwise("")
+    last = last_value_per_key(
+        slots.withColumn("label", known), [*file, "label"], "row_idx", ["cells"]
+    )
+    # At most one row per known label is left of each sheet, so this list is short.
+    wide = last.groupBy(*file).agg(
+        F.map_from_entries(F.collect_list(F.struct("label", "cells"))).alias("_rows")
+    )
+
+    def row(text: str) -> Column:
+        return F.element_at("_rows", F.lit(text))
 
     def cell(text: str, position: int) -> Column:
-        value = _value(F.col(columns[text]), position)
+        value = _value(row(text), position)
         return F.when(value["kind"] == "b", F.initcap(value["text"])).otherwise(value["text"])
 
     fields = {}
     for name, (text, position) in SHEET_LABELS.items():
         clean = clean_float if name in RECORD_WEIGHT_FIELDS else clean_str
         fields[name] = clean(cell(text, position))
-    fields["liquidity_adjustment"] = clean_str(cell(f"{LIQUIDITY_LABEL} 1", 0))
+    fields["liquidity_adjustment"] = clean_str(cell(notch, 0))
 
-    wide = wide.withColumn("_years", F.coalesce(_years(F.col(columns[METRICS_HEADER])), F.array()))
-    sources = {m: columns[m] for m in series} | {LIQUIDITY_SERIES: columns[f"{LIQUIDITY_LABEL} 2"]}
+    years = F.coalesce(_years(row(METRICS_HEADER)), F.array().cast("array<string>"))
+    wide = wide.withColumn("_years", years)
+    sources = {m: m for m in series} | {LIQUIDITY_SERIES: second}
     found = F.array(
-        *[F.struct(F.lit(m).alias("m"), F.col(c).alias("cells")) for m, c in sorted(sources.items())]
+        *[F.struct(F.lit(m).alias("m"), row(c).alias("cells")) for m, c in sorted(sources.items())]
     )
     present = F.filter(found, lambda e: e["cells"].isNotNull() & (F.size("_years") > 0))
     entries = F.transform(

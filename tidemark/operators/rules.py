@@ -19,6 +19,8 @@ from tidemark.schemas import MONTHS
 
 CRITICAL, WARNING = "CRITICAL", "WARNING"
 
+_FAILURES = "array<struct<field:string,rule:string,severity:string,message:string>>"
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -185,8 +187,13 @@ def check_list(rules: Sequence[Rule]) -> Column:
 
 
 def failure_list(rules: Sequence[Rule]) -> Column:
-    """The failed results of the record as an array."""
-    return F.array_compact(F.array(*[r.failure() for r in rules]))
+    """The failed results of the record as an array.
+
+    Records that pass everything, as most do, build no structs at all.
+    """
+    failed = F.array_compact(F.array(*[r.failure() for r in rules]))
+    all_passed = reduce(lambda a, b: a & b, [r.passed for r in rules], F.lit(True))
+    return F.when(all_passed, F.array().cast(_FAILURES)).otherwise(failed)
 
 
 def checks_long(df: DataFrame, keys: Sequence[str], rules: Sequence[Rule]) -> DataFrame:

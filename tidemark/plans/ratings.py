@@ -88,13 +88,15 @@ def with_mtimes(records: DataFrame, mtimes: DataFrame) -> DataFrame:
 
 def normalise(records: DataFrame) -> DataFrame:
     """Raw records with file_modified_at to normalised, hash-keyed records."""
-    fields = content_fields()
-    return records.select(
+    # Cleaned in a projection of their own: the hash uses each field several times.
+    fields = {n: c.alias(n) for n, c in content_fields().items()}
+    clean = records.select("source_filename", "file_modified_at", *fields.values())
+    return clean.select(
         "source_filename",
         "file_modified_at",
-        *[c.alias(n) for n, c in fields.items() if n != "business_year_end"],
+        *[n for n in fields if n != "business_year_end"],
         month_number(F.col("business_year_end")).cast("short").alias("business_year_end_month"),
-        content_hash(records, fields).alias("data_hash"),
+        content_hash(clean, list(fields)).alias("data_hash"),
         F.col("file_modified_at").alias("effective_date"),
     )
 

@@ -621,6 +621,21 @@ def _customer_sheets(t: Tables) -> DataFrame:
     return t.customer.select(name.alias("source_filename"), F.inline(lines))
 
 
+@query("""
+    SELECT 'customer_' || c_custkey || '.xlsm' AS source_filename, row_idx, texts
+    FROM customer, LATERAL (VALUES
+        (0, '|Rated entity|first, overwritten'), (1, '|Rated entity|' || c_name),
+        (2, '|CorporateSector|' || c_mktsegment), (3, '|Industry weight|0.25|n/k'),
+        (4, '|Liquidity|+1 notch'), (6, '|[Scope Credit Metrics]|2020.0|2021E||2023'),
+        (7, '|Scope-adjusted FFO/debt|' || c_acctbal || '|Locked|' || c_custkey),
+        (8, '|Liquidity|' || c_custkey || '|')) v(row_idx, texts)
+""")
+def stripped_cells(t: Tables) -> DataFrame:
+    rows = kvsheet.strip_cells(_customer_sheets(t))
+    texts = F.transform("cells", lambda c: F.coalesce(c["text"], F.lit("")))
+    return rows.select("source_filename", "row_idx", F.array_join(texts, "|").alias("texts"))
+
+
 @query("""
     SELECT 'customer_' || c_custkey || '.xlsm' AS source_filename, c_name AS rated_entity,
            c_mktsegment AS sector, 0.25 :: DOUBLE AS industry_weight_1,

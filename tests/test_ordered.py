@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import scd2
+from tidemark.operators import latest, scd2
 from tidemark.operators.latest import as_of_dates, as_of_join
 from tidemark.operators.ordered import CHUNK, OrderedGroups, dense_ids, position_in
 from tidemark.operators.reshape import nest_children
@@ -50,10 +50,9 @@ def test_small_input_is_not_probed(skewed):
 @pytest.mark.parametrize("max_rows", [None, 150, 37])
 def test_lag_lead_number_and_carry(skewed, max_rows):
     groups = OrderedGroups(skewed, ["key"], ["t", "id"], max_rows)
-    df = groups.lag(groups.df, F.col("v"), "before")
-    df = groups.lead(df, F.col("id"), "after")
-    df = groups.number(df, "no")
-    df = groups.done(groups.last_known(df, F.col("v"), "known"))
+    df = groups.add(groups.df, before=groups.lag(F.col("v")), after=groups.lead(F.col("id")))
+    df = groups.add(df, no=groups.number(), known=groups.last_known(F.col("v")))
+    df = groups.done(df)
     found = {r["id"]: (r["before"] and r["before"]["v"], r["before"] is None,
                        r["after"] and r["after"]["v"], r["no"], r["known"]) for r in df.collect()}
     expected = {}
@@ -108,7 +107,9 @@ def test_as_of_join(skewed, max_rows):
     assert found.columns == [*skewed.columns, "fact"]
 
 
-def test_as_of_dates(skewed):
+@pytest.mark.parametrize("compared", [64, 2])
+def test_as_of_dates(skewed, monkeypatch, compared):
+    monkeypatch.setattr(latest, "_COMPARED_ONE_BY_ONE", compared)
     dates = [-1, 10, 11, 25, 99]
     found = as_of_dates(skewed, ["key"], ["t", "id"], dates)
     expected = set()

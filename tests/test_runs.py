@@ -93,7 +93,7 @@ def test_reads(loaded):
     assert [r["snapshot_id"] for r in reads.latest_snapshots(fact, dim).collect()] == [2, 4]
     both = reads.compare_companies(fact, dim, " Company A ,, Company B")
     assert [r["snapshot_id"] for r in both.collect()] == [2, 4]
-    first_load = log.agg(F.min("loaded_at_utc")).first()[0].replace(tzinfo=timezone.utc)
+    first_load = log.agg(F.min("loaded_at_utc")).first()[0].astimezone(timezone.utc)
     past = reads.compare_companies(fact, dim, "Company A,Company B", first_load)
     assert [r["snapshot_id"] for r in past.collect()] == [1]
     with pytest.raises(ValueError):

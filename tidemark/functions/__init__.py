@@ -8,6 +8,7 @@ from tidemark.functions.text import (
     file_name,
     file_stem,
     hash_prefix,
+    moment,
     month_number,
     name_list,
     percent,
@@ -18,6 +19,6 @@ from tidemark.functions.text import (
 
 __all__ = [
     "canonical_json", "clean_float", "clean_str", "contains_ignoring_case", "content_hash",
-    "file_name", "file_stem", "hash_prefix", "json_number", "json_text", "month_number",
-    "name_list", "percent", "round4", "strip", "year_label",
+    "file_name", "file_stem", "hash_prefix", "json_number", "json_text", "moment",
+    "month_number", "name_list", "percent", "round4", "strip", "year_label",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,6 +64,17 @@ def round4(col: Column) -> Column:
     return F.coalesce(col, F.lit(0.0)).cast("decimal(5,4)")
 
 
+def moment(value: datetime) -> Column:
+    """A time literal: an instant when the value has a zone, else a wall-clock time.
+
+    A wall-clock literal compares with either timestamp type without a cast on the
+    column, so the comparison is still pushed into the scan.
+    """
+    if value.tzinfo is not None:
+        return F.lit(value)
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import contains_ignoring_case
+from tidemark.functions.text import contains_ignoring_case, moment
 
 
 def all_given(df: DataFrame, predicates: Iterable[Column | None]) -> DataFrame:
@@ -28,11 +28,11 @@ def equals_upper(column: str, value: str | None) -> Column | None:
 
 
 def at_least(column: str, value: datetime | None) -> Column | None:
-    return None if value is None else F.col(column) >= F.lit(value)
+    return None if value is None else F.col(column) >= moment(value)
 
 
 def at_most(column: str, value: datetime | None) -> Column | None:
-    return None if value is None else F.col(column) <= F.lit(value)
+    return None if value is None else F.col(column) <= moment(value)
 
 
 def contains(column: str, text: str | None) -> Column | None:

@@ -8,13 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import moment
 from tidemark.operators.ordered import OrderedGroups, position_in
 
 
+# Up to this many dates plain comparisons in generated code beat a binary search.
+_COMPARED_ONE_BY_ONE = 64
+
+
 def _desc(order: Sequence[str]) -> list[Column]:
     return [F.col(c).desc_nulls_first() for c in order]
 
@@ -60,9 +66,9 @@ def latest_with_parent(
     return latest_per_key(per_parent.join(parents, on, "left"), [entity], order)
 
 
-def as_of(df: DataFrame, keys: Sequence[str], order: Sequence[str], moment: Column) -> DataFrame:
-    """Latest row per group at or before ``moment``; ``order[0]`` is the time column."""
-    return latest_per_key(df.filter(F.col(order[0]) <= moment), keys, order)
+def as_of(df: DataFrame, keys: Sequence[str], order: Sequence[str], when: datetime) -> DataFrame:
+    """Latest row per group at or before ``when``; ``order[0]`` is the time column."""
+    return latest_per_key(df.filter(F.col(order[0]) <= moment(when)), keys, order)
 
 
 def as_of_dates(
@@ -83,14 +89,15 @@ def as_of_dates(
     dates = sorted(set(dates))
     time = F.col(order[0])
     dtype = df.schema[order[0]].dataType
-    bounds = F.array(*[F.lit(d).cast(dtype) for d in dates])
+    literals = [(moment(d) if isinstance(d, datetime) else F.lit(d)).cast(dtype) for d in dates]
+    bounds = F.array(*literals)
     # index of the first date >= time: the number of dates strictly before it
-    below = position_in(
-        F.transform(bounds, lambda d: F.struct(d.alias("d"), F.lit(1).alias("s"))),
-        len(dates),
-        F.struct(time.alias("d"), F.lit(0).alias("s")),
-    )
-    seen = df.filter(time <= F.lit(dates[-1]).cast(dtype)).withColumn("_slot", below)
+    if len(dates) <= _COMPARED_ONE_BY_ONE:
+        below = reduce(lambda a, b: a + b, [(time > d).cast("int") for d in literals])
+    else:
+        strictly = F.array(*[F.struct(d.alias("d"), F.lit(1).alias("s")) for d in literals])
+        below = position_in(strictly, len(dates), F.struct(time.alias("d"), F.lit(0).alias("s")))
+    seen = df.filter(time <= literals[-1]).withColumn("_slot", below)
     kept = latest_per_key(seen, [*keys, "_slot"], order)
     # at most len(dates) rows per group from here on
     following = F.lead("_slot").over(Window.partitionBy(*keys).orderBy("_slot"))
@@ -134,7 +141,7 @@ def as_of_join(
     merged = left.unionByName(right, allowMissingColumns=True)
     # at equal times the facts come first
     groups = OrderedGroups(merged, keys, [order[0], "_side", *order[1:]], max_rows)
-    carried = groups.last_known(groups.df, F.col("_fact"), "_known")
+    carried = groups.add(groups.df, _known=groups.last_known(F.col("_fact")))
     return carried.filter("_side = 1").select(
         "_request.*", *[F.col(f"_known.{c}").alias(c) for c in fact_columns]
     )

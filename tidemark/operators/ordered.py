@@ -12,9 +12,10 @@ Keys below the limit, i.e. normally all of them, take the plain window.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,13 +53,23 @@ def position_in(bounds: Column, count: int | Column, value: Column) -> Column:
     )
 
 
+@dataclass(frozen=True)
+class _OrderedColumn:
+    """A column over the ordered group, and how it continues over a chunk border."""
+
+    local: Column  # within the chunk
+    of_chunk: Column  # aggregate of one chunk, for its neighbours
+    carried: Callable[[Column], Column]  # what the neighbours hand to a chunk
+    joined: Callable[[Column, Column], Column]  # local and carried value to the result
+
+
 class OrderedGroups:
     """Rows of ``df`` grouped by ``keys`` and ordered ascending by ``order``.
 
     ``order`` must be total within a key, else the results depend on chance.
-    The methods take a DataFrame derived from :attr:`df` by adding columns or
-    removing rows, and return it with one more column; as long as no shuffle
-    comes between, they share one exchange and one sort.
+    :meth:`add` takes a DataFrame derived from :attr:`df` by adding columns or
+    removing rows; as long as no shuffle comes between, repeated calls share one
+    exchange and one sort.
     """
 
     def __init__(
@@ -152,69 +163,76 @@ class OrderedGroups:
             .drop("_points", *self._names())
         )
 
-    # -- carrying values over chunk borders -------------------------------------------
+    # -- ordered columns --------------------------------------------------------------
 
-    def _summary(self, df: DataFrame, value: Column) -> DataFrame:
-        """One row per chunk of the heavy keys: an aggregate of the chunk's rows."""
-        heavy = df.filter(F.col(CHUNK).isNotNull())
-        return heavy.groupBy(*self.keys, CHUNK).agg(value.alias("_v"))
+    def lag(self, value: Column) -> _OrderedColumn:
+        """struct(v) of the previous row of the group, null on its first row."""
+        boxed = F.struct(value.alias("v"))
+        return _OrderedColumn(
+            local=F.lag(boxed).over(self.window),
+            of_chunk=F.max_by(boxed, self._order_struct()),
+            carried=lambda v: F.lag(v).over(self._across()),
+            joined=F.coalesce,
+        )
 
-    def _attach(self, df: DataFrame, summary: DataFrame, over: Column) -> DataFrame:
-        small = self._aliased(
-            summary.select(*self.keys, F.col(CHUNK).alias("_c"), over.alias("_carry"))
+    def lead(self, value: Column) -> _OrderedColumn:
+        """struct(v) of the next row of the group, null on its last row."""
+        boxed = F.struct(value.alias("v"))
+        return _OrderedColumn(
+            local=F.lead(boxed).over(self.window),
+            of_chunk=F.min_by(boxed, self._order_struct()),
+            carried=lambda v: F.lead(v).over(self._across()),
+            joined=F.coalesce,
         )
-        same = self._same_key([(CHUNK, "_c")])
-        return df.join(F.broadcast(small), same, "left").drop("_c", *self._names())
 
-    def _across(self) -> Window:
-        return Window.partitionBy(*self.keys).orderBy(CHUNK)
+    def number(self) -> _OrderedColumn:
+        """Position of the row in its group, from 1."""
+        before = self._across().rowsBetween(Window.unboundedPreceding, -1)
+        return _OrderedColumn(
+            local=F.row_number().over(self.window).cast("long"),
+            of_chunk=F.count(F.lit(1)),
+            carried=lambda v: F.sum(v).over(before),
+            joined=lambda here, carry: here + F.coalesce(carry, F.lit(0)),
+        )
 
-    def lag(self, df: DataFrame, value: Column, name: str) -> DataFrame:
-        """``name`` = struct(v) of the previous row of the group, null on its first row."""
-        boxed = F.struct(value.alias("v"))
-        df = df.withColumn(name, F.lag(boxed).over(self.window))
-        if not self.split:
-            return df
-        last = F.max_by(boxed, self._order_struct())
-        summary = self._summary(df.drop(name), last)
-        df = self._attach(df, summary, F.lag("_v").over(self._across()))
-        return df.withColumn(name, F.coalesce(name, "_carry")).drop("_carry")
-
-    def lead(self, df: DataFrame, value: Column, name: str) -> DataFrame:
-        """``name`` = struct(v) of the next row of the group, null on its last row."""
-        boxed = F.struct(value.alias("v"))
-        df = df.withColumn(name, F.lead(boxed).over(self.window))
-        if not self.split:
-            return df
-        first = F.min_by(boxed, self._order_struct())
-        summary = self._summary(df.drop(name), first)
-        df = self._attach(df, summary, F.lead("_v").over(self._across()))
-        return df.withColumn(name, F.coalesce(name, "_carry")).drop("_carry")
-
-    def number(self, df: DataFrame, name: str) -> DataFrame:
-        """``name`` = position of the row in its group, from 1."""
-        df = df.withColumn(name, F.row_number().over(self.window).cast("long"))
-        if not self.split:
-            return df
-        summary = self._summary(df.drop(name), F.count(F.lit(1)))
-        before = F.sum("_v").over(self._across().rowsBetween(Window.unboundedPreceding, -1))
-        df = self._attach(df, summary, before)
-        return df.withColumn(name, F.col(name) + F.coalesce("_carry", F.lit(0))).drop("_carry")
-
-    def last_known(self, df: DataFrame, value: Column, name: str) -> DataFrame:
-        """``name`` = the latest non-null ``value`` up to and including the row."""
+    def last_known(self, value: Column) -> _OrderedColumn:
+        """The latest non-null ``value`` up to and including the row."""
         frame = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        source = df
-        df = df.withColumn(name, F.last(value, ignorenulls=True).over(frame))
+        before = self._across().rowsBetween(Window.unboundedPreceding, -1)
+        return _OrderedColumn(
+            local=F.last(value, ignorenulls=True).over(frame),
+            of_chunk=F.max_by(value, F.when(value.isNotNull(), self._order_struct())),
+            carried=lambda v: F.last(v, ignorenulls=True).over(before),
+            joined=F.coalesce,
+        )
+
+    def add(self, df: DataFrame, **columns: _OrderedColumn) -> DataFrame:
+        """``df`` with the given ordered columns, all from one pass over each chunk.
+
+        The rows a summary counts are those of ``df``, so a filter before ``add``
+        holds for the neighbours across chunk borders as well.
+        """
         if not self.split:
-            return df
-        known = F.max_by(value, F.when(value.isNotNull(), self._order_struct()))
-        summary = self._summary(source, known)
-        before = F.last("_v", ignorenulls=True).over(
-            self._across().rowsBetween(Window.unboundedPreceding, -1)
+            return df.withColumns({n: c.local for n, c in columns.items()})
+        heavy = df.filter(F.col(CHUNK).isNotNull())
+        summary = heavy.groupBy(*self.keys, CHUNK).agg(
+            *[c.of_chunk.alias(f"_v_{n}") for n, c in columns.items()]
+        )
+        small = self._aliased(
+            summary.select(
+                *self.keys,
+                F.col(CHUNK).alias("_c"),
+                *[c.carried(F.col(f"_v_{n}")).alias(f"_carry_{n}") for n, c in columns.items()],
+            )
         )
-        df = self._attach(df, summary, before)
-        return df.withColumn(name, F.coalesce(name, "_carry")).drop("_carry")
+        here = df.withColumns({n: c.local for n, c in columns.items()})
+        both = here.join(F.broadcast(small), self._same_key([(CHUNK, "_c")]), "left")
+        full = {n: c.joined(F.col(n), F.col(f"_carry_{n}")) for n, c in columns.items()}
+        return both.withColumns(full).drop("_c", *self._names(), *[f"_carry_{n}" for n in columns])
+
+    def _across(self) -> WindowSpec:
+        """The chunks of a heavy key in order: one row each."""
+        return Window.partitionBy(*self.keys).orderBy(CHUNK)
 
     def done(self, df: DataFrame) -> DataFrame:
         """``df`` without the helper column."""
@@ -230,5 +248,6 @@ def dense_ids(
     """
     one = df.withColumn("_all", F.lit(0))
     groups = OrderedGroups(one, ["_all"], order, max_rows)
-    numbered = groups.number(groups.df, name).withColumn(name, F.col(name) + F.lit(start))
+    numbered = groups.add(groups.df, **{name: groups.number()})
+    numbered = numbered.withColumn(name, F.col(name) + F.lit(start))
     return groups.done(numbered).drop("_all")

@@ -55,7 +55,7 @@ def nest_children(
     groups = OrderedGroups(
         children.select(*dict.fromkeys([on, *order, *fields])), [on], order, max_rows
     )
-    numbered = groups.number(groups.df, "_no")
+    numbered = groups.add(groups.df, _no=groups.number())
     # Pages are cut within a chunk, so this grouping needs no further shuffle.
     paged = numbered.withColumn("page", F.floor((F.col("_no") - 1) / page_rows))
     child = F.struct(F.col("_no"), *[F.col(f).alias(f) for f in fields])
@@ -66,7 +66,7 @@ def nest_children(
         # A page cut by a chunk border stays in two rows; number the rows anew.
         lists = lists.withColumn("_first", F.element_at(name, 1)["_no"])
         again = OrderedGroups(lists.drop(CHUNK, "page"), [on], ["_first"], max_rows)
-        lists = again.done(again.number(again.df, "page")).withColumn("page", F.col("page") - 1)
+        lists = again.done(again.add(again.df, page=again.number())).withColumn("page", F.col("page") - 1)
         lists = lists.drop("_first")
     stripped = F.transform(name, lambda c: F.struct(*[c[f].alias(f) for f in fields]))
     lists = lists.select(on, "page", stripped.alias(name))

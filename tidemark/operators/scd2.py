@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import round4
+from tidemark.functions.text import moment, round4
 from tidemark.operators.ordered import OrderedGroups
 
 
@@ -19,7 +19,7 @@ def _changed(groups: OrderedGroups, df: DataFrame, tracked: Sequence[str]) -> Da
     with the current version, because rows that start no version have its values.
     """
     values = F.struct(*tracked)
-    df = groups.lag(df, values, "_prev")
+    df = groups.add(df, _prev=groups.lag(values))
     same = F.col("_prev").isNotNull() & F.col("_prev.v").eqNullSafe(values)
     return df.withColumn("_changed", ~same).drop("_prev")
 
@@ -41,8 +41,9 @@ def versions(
     columns = list(dict.fromkeys([*entity, *order, *tracked, *keep]))
     groups = OrderedGroups(records.select(*columns), entity, order, max_rows)
     started = _changed(groups, groups.df, tracked).filter("_changed").drop("_changed")
-    numbered = groups.number(started, "version_no")
-    closed = groups.lead(numbered, F.col(order[0]), "_next")
+    closed = groups.add(
+        started, version_no=groups.number(), _next=groups.lead(F.col(order[0]))
+    )
     return closed.select(
         *entity, *[c for c in tracked if c not in entity],
         *[c for c in keep if c not in entity and c not in tracked],
@@ -70,7 +71,7 @@ def assign_versions(
     groups = OrderedGroups(records, entity, order, max_rows)
     marked = _changed(groups, groups.df, tracked)
     starting = F.when(F.col("_changed"), version_value)
-    carried = groups.last_known(marked, starting, name)
+    carried = groups.add(marked, **{name: groups.last_known(starting)})
     return groups.done(carried.withColumnRenamed("_changed", "starts_version"))
 
 
@@ -107,9 +108,9 @@ def current(version_rows: DataFrame) -> DataFrame:
     return version_rows.filter("is_current")
 
 
-def valid_at(version_rows: DataFrame, moment: Column | datetime) -> DataFrame:
+def valid_at(version_rows: DataFrame, when: Column | datetime) -> DataFrame:
     """The versions in force at a moment: valid_from <= moment < valid_to."""
-    at = moment if isinstance(moment, Column) else F.lit(moment)
+    at = when if isinstance(when, Column) else moment(when)
     return version_rows.filter(
         (F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (F.col("valid_to") > at))
     )

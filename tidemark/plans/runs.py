@@ -148,7 +148,7 @@ def next_versions(open_versions: DataFrame, accepted: DataFrame) -> tuple[DataFr
     untouched = open_versions.join(entities, "entity_name", "left_anti")
     both = replaced.drop("valid_to", "is_current").unionByName(started)
     groups = OrderedGroups(both, ["entity_name"], ["valid_from"])
-    bounded = groups.done(groups.lead(groups.df, F.col("valid_from"), "_next"))
+    bounded = groups.done(groups.add(groups.df, _next=groups.lead(F.col("valid_from"))))
     rows = bounded.withColumns(
         {"valid_to": F.col("_next.v"), "is_current": F.col("_next").isNull()}
     ).select(*columns)

@@ -83,9 +83,9 @@ def compare_as_of(t: Tables) -> DataFrame:
     segments = t.customer.filter(F.col("c_mktsegment").isin(names)).select(
         F.col("c_custkey").alias("o_custkey"), "c_mktsegment"
     )
-    moment = F.lit(datetime(1998, 6, 30)).cast("timestamp_ntz")
     rows = latest.as_of(
-        t.orders.join(segments, "o_custkey"), ["c_mktsegment"], ["o_orderdate", "o_orderkey"], moment
+        t.orders.join(segments, "o_custkey"), ["c_mktsegment"], ["o_orderdate", "o_orderkey"],
+        datetime(1998, 6, 30),
     )
     return rows.select("c_mktsegment", "o_orderkey", "o_orderdate", "o_totalprice").orderBy(
         *flt.ascending("c_mktsegment")
@@ -340,8 +340,7 @@ def entity_versions(t: Tables) -> DataFrame:
     WHERE valid_from <= TIMESTAMP '1998-01-01' AND (valid_to IS NULL OR valid_to > TIMESTAMP '1998-01-01')
 """)
 def point_in_time_version(t: Tables) -> DataFrame:
-    moment = F.lit(datetime(1998, 1, 1)).cast("timestamp_ntz")
-    return scd2.valid_at(_versions(t), moment).select(
+    return scd2.valid_at(_versions(t), datetime(1998, 1, 1)).select(
         "o_custkey", "version_no", "o_orderpriority", "valid_from", "valid_to"
     )
 
@@ -374,7 +373,7 @@ def version_of_each_fact(t: Tables) -> DataFrame:
 """)
 def incremental_versions(t: Tables) -> DataFrame:
     """A second batch continues the versions that the first one left open."""
-    cut = F.lit(datetime(1999, 1, 1)).cast("timestamp_ntz")
+    cut = tx.moment(datetime(1999, 1, 1))
     early, late = t.orders.filter(F.col("o_orderdate") < cut), t.orders.filter(F.col("o_orderdate") >= cut)
     first = scd2.versions(
         early, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderpriority"], ["o_orderkey"]
@@ -945,7 +944,7 @@ def changed_since_watermark(t: Tables) -> DataFrame:
     watermark = last_success(runs).first()[0]
     rows = t.lineitem
     if watermark is not None:
-        rows = rows.filter(F.col("l_shipdate") > F.lit(watermark).cast("timestamp_ntz"))
+        rows = rows.filter(F.col("l_shipdate") > tx.moment(watermark))
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate").orderBy("l_shipdate")
 
 

@@ -110,7 +110,7 @@ class Warehouse:
         """Time of the last successful run. ``started_at_utc`` also sees files changed
         while that run was working; their content hashes make the overlap harmless."""
         moment = last_success(self.run_state(), column).first()[0]
-        return moment.replace(tzinfo=timezone.utc) if moment else None
+        return moment.astimezone(timezone.utc) if moment else None
 
     # -- reading ------------------------------------------------------------------
 

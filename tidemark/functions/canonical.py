@@ -115,13 +115,15 @@ def canonical_json(df: DataFrame, values: Mapping[str, Column] | list[str]) -> C
     maps = [n for n in names if isinstance(types[n], T.MapType)]
     keys = {n: F.lit(f'"{n}":') for n in names}
 
-    plain = [F.concat(keys[n], _json_value(values[n], types[n], _quoted)) for n in names]
+    simple = {n: _json_value(values[n], types[n], _quoted) for n in names}
+    plain = [F.concat(keys[n], simple[n]) for n in names]
     # The other path encodes all texts in one pass over an array, which keeps the plan small.
     none = F.lit(None).cast("string")
     raw = F.array(
         *[F.struct(keys[n].alias("key"), (values[n] if n in texts else none).alias("text")) for n in names]
     )
-    done = F.array(*[none if n in texts else _json_value(values[n], types[n], json_text) for n in names])
+    exact = {n: _json_value(values[n], types[n], json_text) for n in maps}
+    done = F.array(*[none if n in texts else exact.get(n, simple[n]) for n in names])
     escaped = F.zip_with(
         raw, done, lambda r, d: F.concat(r["key"], F.coalesce(d, json_text(r["text"]), F.lit("null")))
     )

@@ -43,13 +43,13 @@ def run_batch(
     warehouse = Warehouse(spark, root)
     warehouse.create()
     run = warehouse.begin_run(dag_run_id)
-    with _reported(warehouse, run) as counts:
+    with reported_run(warehouse, run) as counts:
         files = modified_since(spark, input_dir, warehouse.watermark(watermark_column))
         counts.update(load_files(warehouse, files, run, csv_dir))
     return RunResult(dag_run_id, run["load_id"], **counts)
 
 
-class _reported:
+class reported_run:
     """Closes the run as success or failed, whatever step ends it."""
 
     def __init__(self, warehouse: Warehouse, run: dict):
@@ -156,4 +156,6 @@ def next_versions(open_versions: DataFrame, accepted: DataFrame) -> tuple[DataFr
     return closed, untouched.select(*columns).unionByName(rows.filter("is_current"))
 
 
-__all__ = ["RunResult", "load_files", "load_normalised", "load_records", "run_batch"]
+__all__ = [
+    "RunResult", "load_files", "load_normalised", "load_records", "reported_run", "run_batch",
+]

@@ -51,9 +51,8 @@ def _sheet_part(book: zipfile.ZipFile, sheet: str, name: str) -> str:
         raise ValueError(f"{name} has no sheet named {sheet}")
     for node in ET.fromstring(book.read("xl/_rels/workbook.xml.rels")):
         if node.get("Id") == target:
-            return posixpath.normpath(posixpath.join("xl", node.get("Target"))).lstrip("/").replace(
-                "xl/xl/", "xl/"
-            )
+            # a target is relative to xl/ or, with a leading slash, to the archive
+            return posixpath.normpath(posixpath.join("xl", node.get("Target"))).lstrip("/")
     raise ValueError(f"{name} does not link sheet {sheet} to a part")
 
 

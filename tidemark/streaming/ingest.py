@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.text import file_name
-from tidemark.plans.runs import _reported, load_files
+from tidemark.plans.runs import reported_run, load_files
 from tidemark.sources.warehouse import Warehouse
 
 _FILES = T.StructType(
@@ -53,7 +53,7 @@ def ingest_new_files(
         if not done.isEmpty():
             return
         run = warehouse.begin_run(dag_run_id)
-        with _reported(warehouse, run) as counts:
+        with reported_run(warehouse, run) as counts:
             counts.update(load_files(warehouse, files, run))
 
     Warehouse(spark, root).create()

@@ -17,7 +17,7 @@ NAMES = (
 
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="test tables are absent")
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.table_queries.QUERIES, entry.table_queries.SQL
 
 
 @pytest.fixture(scope="module")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,12 +28,9 @@ def local_session(cores: str = "*", app: str = "tidemark", **conf: str) -> Spark
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder, visible to all executors, under ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: there the driver
-    and the executors are one process.
+    Where that is unset, as in local sessions, the folder lies in the warehouse
+    directory, which any cluster shares too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="tidemark-")
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

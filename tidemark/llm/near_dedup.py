@@ -26,7 +26,9 @@ BANDS, BAND_ROWS = 32, 4
 HASHES = BANDS * BAND_ROWS
 STEP = 16
 MISS = 1e-7
-BLOCK = 512
+BLOCK = 512  # rows on either side of a block comparison
+LARGE_GROUP = 64  # components with more members are visited instead of compared per bucket
+BROADCAST_IDS = 1_000_000
 
 _RANDOM = np.random.default_rng(7)
 _FLIP = _RANDOM.integers(0, 2**32, (HASHES, 1), dtype=np.uint32)
@@ -113,30 +115,48 @@ def _survivors(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: int, stash: Stash) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets reach the similarity."""
-    kind = pairs.schema["a"].dataType.simpleString()
+def _sets(docs: DataFrame, key: str, text: str, ids: DataFrame, stash: Stash) -> DataFrame:
+    """The sorted shingle hashes (id, members) of the documents in ``ids``.
+
+    Up to ``BROADCAST_IDS`` keys go to the scan; more of them are joined by a shuffle.
+    """
+    kind = docs.schema[key].dataType.simpleString()
 
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(words_of(batch.column(1), lower=True), SHINGLE)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "members"]
             )
 
+    ids = stash.put(ids.distinct(), "ids")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    wanted = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi")
+    sets = wanted.mapInArrow(run, f"id {kind}, members binary")
+    return stash.put(sets, "sets")
+
+
+def _set(value: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), dtype=np.uint64)
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: int, stash: Stash) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets reach the similarity."""
+    kind = pairs.schema["a"].dataType.simpleString()
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            sides = zip(batch.column("set_a"), batch.column("set_b"), strict=True)
+            good = [_similar(_set(x), _set(y), percent) for x, y in sides]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     pairs = stash.put(pairs, "survivors")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi")
-    sets = stash.put(wanted.mapInArrow(sets_of, f"id {kind}, members binary"), "sets")
+    sets = _sets(docs, key, text, pairs.select("a").union(pairs.select("b")).toDF("id"), stash)
     left = sets.select(F.col("id").alias("a"), F.col("members").alias("set_a"))
     right = sets.select(F.col("id").alias("b"), F.col("members").alias("set_b"))
     links = pairs.join(left, "a").join(right, "b").mapInArrow(compare, f"a {kind}, b {kind}")
@@ -155,65 +175,115 @@ def _labelled(members: DataFrame, column: str, labels: DataFrame, name: str) ->
     )
 
 
-def _block_pairs(members: DataFrame, sigs: DataFrame, percent: int, block: int) -> DataFrame:
-    """Surviving pairs of different components within each bucket (band, rep, comp).
+def _within_buckets(members: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+    """Surviving pairs of different small components within each bucket (band, rep, comp).
 
-    A component with more than ``block`` members in a bucket is cut into blocks of its own,
-    the others share mixed blocks; blocks are paired unless both belong to one component.
-    So the members of one large group meet the few others of the bucket, not one another,
-    and no task holds more than two blocks.
+    A bucket is cut into blocks of about ``BLOCK`` rows and each two blocks meet in one task.
+    A pair is looked at in the first band that it shares.
     """
     kind = members.schema["rep"].dataType.simpleString()
-    sizes = members.groupBy("band", "comp").agg(F.count("*").alias("n"))
-    totals = sizes.groupBy("band").agg(F.sum(F.when(F.col("n") <= block, F.col("n")).otherwise(0)).alias("small"))
-    sizes = sizes.join(totals, "band").select(
-        "band",
-        "comp",
-        (F.col("n") > block).alias("large"),
-        F.ceil(F.when(F.col("n") > block, F.col("n")).otherwise(F.col("small")) / F.lit(block)).alias("parts"),
-    )
-    owner = F.when(F.col("large"), F.col("comp"))
-    spread = F.when(F.col("large"), F.xxhash64("rep")).otherwise(F.xxhash64("comp"))
-    placed = members.join(sizes, ["band", "comp"]).select(
-        "band", "rep", "comp", F.struct(owner.alias("owner"), F.pmod(spread, F.col("parts")).alias("part")).alias("block")
-    )
-    blocks = placed.select("band", "block").distinct()
-    first, second = blocks.withColumnRenamed("block", "x"), blocks.withColumnRenamed("block", "y")
-    paired = first.join(second, "band").filter(
-        (F.col("x") <= F.col("y")) & ~F.coalesce(F.col("x.owner") == F.col("y.owner"), F.lit(False))
-    )
-    placed = placed.join(sigs, "rep")
-    sides = placed.withColumnRenamed("block", "x").join(paired, ["band", "x"]).withColumn("side", F.lit(0))
-    sides = sides.unionByName(
-        placed.withColumnRenamed("block", "y").join(paired, ["band", "y"]).withColumn("side", F.lit(1))
-    )
+    parts = members.groupBy("band").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("parts"))
+    placed = members.join(parts, "band").join(sigs, "rep")
+    own = F.pmod(F.xxhash64("rep"), F.col("parts"))
+    placed = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    placed = placed.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        side = table.column("side").to_numpy()
-        sig = _matrix(table.column("sig"))
+        sig, own = _matrix(table.column("sig")), table.column("own").to_numpy()
+        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
         comp = np.unique(np.array(table.column("comp").to_pylist()), return_inverse=True)[1]
-        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        a, b = [], []
+        band = table.column("band_no")[0].as_py()
+        left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
+        a, b = [left[:0]], [left[:0]]
         for at in range(0, len(left), 64):
             i, j = (g.ravel() for g in np.meshgrid(left[at : at + 64], right, indexing="ij"))
-            other = comp[i] != comp[j]
-            i, j = i[other], j[other]
+            use = (comp[i] != comp[j]) & ((i < j) | (x != y))
+            i, j = i[use], j[use]
             alive = likely(sig[i], sig[j], percent)
-            a.append(i[alive])
-            b.append(j[alive])
+            i, j = i[alive], j[alive]
+            earlier = (sig[i, : BAND_ROWS * band] == sig[j, : BAND_ROWS * band]).reshape(len(i), band, BAND_ROWS)
+            fresh = ~earlier.all(axis=2).any(axis=1)
+            a.append(i[fresh])
+            b.append(j[fresh])
         rep = table.column("rep")
-        return pa.table(
-            {"a": rep.take(pa.array(np.concatenate(a or [left]))), "b": rep.take(pa.array(np.concatenate(b or [left])))}
-        )
+        return pa.table({"a": rep.take(pa.array(np.concatenate(a))), "b": rep.take(pa.array(np.concatenate(b)))})
+
+    placed = placed.select("band", "band_no", "x", "y", "own", "rep", "comp", "sig")
+    return placed.groupBy("band", "x", "y").applyInArrow(run, f"a {kind}, b {kind}")
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all sets on the left with all on the right."""
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    common = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    for at in range(0, len(common), columns):
+        part = common[at : at + columns]
+        sides = []
+        for sets in (left, right):
+            grid = np.zeros((len(sets), len(part)), dtype=np.float32)
+            for row, members in enumerate(sets):
+                grid[row] = np.isin(part, members, assume_unique=True)
+            sides.append(grid)
+        out += sides[0] @ sides[1].T
+    return out
 
-    pairs = sides.select("band", "x", "y", "side", "rep", "comp", "sig").groupBy("band", "x", "y")
-    found = pairs.applyInArrow(run, f"a {kind}, b {kind}")
-    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+def _visits(
+    members: DataFrame, large: DataFrame, sigs: DataFrame, docs: DataFrame, key: str, text: str, percent: int, stash: Stash
+) -> DataFrame:
+    """Links (a, b) between large components and what shares a bucket with them.
+
+    A row visits each larger component of its bucket once, not once per bucket. Visitors and
+    hosts meet in blocks; the sequential test goes first, the full sets of what survives are
+    counted in the same task, and one link per visitor is returned, since the hosts are one
+    component already.
+    """
+    kind = members.schema["rep"].dataType.simpleString()
+    hosts = members.join(large, "comp").select("band", F.col("comp").alias("host"), F.col("n").alias("host_n")).distinct()
+    guests = members.join(large, "comp", "left").select("band", "rep", "comp", F.coalesce("n", F.lit(0)).alias("n"))
+    visits = guests.join(hosts, "band").filter(F.struct("n", "comp") < F.struct("host_n", "host"))
+    visits = stash.put(visits.select("rep", "host").distinct(), "visits")
+    homes = members.join(large, "comp").select("rep", F.col("comp").alias("host")).distinct()
+    homes = homes.join(visits.select("host").distinct(), "host", "left_semi").select("rep", "host")
+    both = visits.withColumn("guest", F.lit(True)).unionByName(homes.withColumn("guest", F.lit(False)))
+    counts = both.groupBy("host").agg(
+        F.ceil(F.count_if("guest") / F.lit(BLOCK)).alias("guests"),
+        F.ceil(F.count_if(~F.col("guest")) / F.lit(BLOCK)).alias("homes"),
+    )
+    sets = _sets(docs, key, text, both.select(F.col("rep").alias("id")), stash).withColumnRenamed("id", "rep")
+    own = F.pmod(F.xxhash64("rep"), F.when(F.col("guest"), F.col("guests")).otherwise(F.col("homes")))
+    other = F.sequence(F.lit(0), F.when(F.col("guest"), F.col("homes")).otherwise(F.col("guests")) - 1)
+    placed = both.join(counts, "host").withColumn("own", own).withColumn("other", F.explode(other))
+    placed = placed.withColumn("x", F.when(F.col("guest"), F.col("own")).otherwise(F.col("other")))
+    placed = placed.withColumn("y", F.when(F.col("guest"), F.col("other")).otherwise(F.col("own")))
+    placed = placed.join(sigs, "rep").join(sets, "rep").select("host", "x", "y", "guest", "rep", "sig", "members")
+
+    def run(table: pa.Table) -> pa.Table:
+        sig, guest = _matrix(table.column("sig")), table.column("guest").to_numpy()
+        members = [_set(v) for v in table.column("members")]
+        left, right = np.flatnonzero(guest), np.flatnonzero(~guest)
+        a, b = [], []
+        for at in range(0, len(left) if len(right) else 0, 64):
+            i, j = (g.ravel() for g in np.meshgrid(left[at : at + 64], right, indexing="ij"))
+            alive = likely(sig[i], sig[j], percent)
+            if len(alive):
+                i, j = np.unique(i[alive]), np.unique(j[alive])
+                shared = shared_counts([members[k] for k in i], [members[k] for k in j])
+                size = np.array([len(members[k]) for k in i])[:, None] + np.array([len(members[k]) for k in j])
+                linked = 100 * shared >= percent * (size - shared)
+                some = np.flatnonzero(linked.any(axis=1))
+                a.extend(i[some])
+                b.extend(j[linked[some].argmax(axis=1)])
+        rep = table.column("rep")
+        return pa.table({"a": rep.take(pa.array(a, pa.int64())), "b": rep.take(pa.array(b, pa.int64()))})
+
+    links = stash.put(placed.groupBy("host", "x", "y").applyInArrow(run, f"a {kind}, b {kind}"), "visited")
+    stash.drop(sets)
+    return links
 
 
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, block: int = BLOCK
+    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, large_group: int = LARGE_GROUP
 ) -> DataFrame:
     """One row per row of ``docs``: key, n_shingles, component_id, kept.
 
@@ -224,7 +294,9 @@ def near_duplicates(
     1. Rows with equal sets are one class, stood for by its least key.
     2. Each bucket of a band names its least member as pivot; a class is compared with
        its least pivot first, then with the pivots that are not yet in its component.
-    3. Buckets that still hold several components compare them in blocks.
+    3. Buckets that still hold several components compare them in blocks; components with
+       more than ``large_group`` rows in such buckets are compared once with all rows that
+       share a bucket with them.
 
     So a group of copies costs one comparison per member and pivot, never all pairs, while
     every candidate pair that could still join two components is looked at.
@@ -242,12 +314,12 @@ def near_duplicates(
     reps = reps.select("rep", "sig").dropDuplicates(["rep"])
     bands = reps.select(
         "rep",
-        F.explode(
+        F.posexplode(
             F.expr(
                 f"transform(sequence(0, {BANDS - 1}), "
                 f"i -> xxhash64(substring(sig, i * {4 * BAND_ROWS} + 1, {4 * BAND_ROWS}), i))"
             )
-        ).alias("band"),
+        ).alias("band_no", "band"),
     )
     buckets = bands.groupBy("band").agg(F.min("rep").alias("pivot"), F.count("*").alias("n"))
     buckets = stash.put(buckets.filter("n > 1").drop("n"), "buckets")
@@ -267,14 +339,16 @@ def near_duplicates(
     links = links.union(more)
     labels = components(links, stash)
 
-    members = _labelled(shared.select("band", "rep"), "rep", labels, "comp")
+    members = _labelled(shared.select("band", "band_no", "rep"), "rep", labels, "comp")
     mixed_buckets = members.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     mixed_buckets = mixed_buckets.filter("lo < hi").select("band")
     members = stash.put(members.join(mixed_buckets, "band", "left_semi"), "mixed")
-    last = _confirmed(
-        _block_pairs(members, candidates, percent, block), docs, key, text, percent, stash
-    )
-    labels = components(links.union(last), stash)
+    large = members.groupBy("comp").agg(F.count_distinct("rep").alias("n")).filter(F.col("n") > large_group)
+    large = stash.put(large, "large")
+    small = members.join(large, "comp", "left_anti")
+    last = _confirmed(_within_buckets(small, candidates, percent), docs, key, text, percent, stash)
+    links = links.union(last).union(_visits(members, large, candidates, docs, key, text, percent, stash))
+    labels = components(links, stash)
 
     linked = _labelled(classes, "rep", labels, "component").drop("rep")
     found = sigs.drop("sig").join(linked, same, "left")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, near_dedup, substring_dedup
+from tidemark.llm import decontaminate, exact_dedup, kd_shards, near_dedup, substring_dedup, token_rollups, toxicity
+from tidemark.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -101,3 +103,44 @@ def _repeats(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_exact_dedup", EXACT_SQL)
 def _exact(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
+
+
+@query("op4_kd_shards")
+def _shards(spark: SparkSession, folder: str) -> DataFrame:
+    found = kd_shards.kd_shards(table(spark, folder, "documents"), shards=16)
+    return found.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+@query("op5_decontaminate")
+def _contaminated(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op8_token_rollups")
+def _rollups(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents are inserted, those labelled unfit get a revised count (white space runs
+    made one space), those labelled toxic are deleted; the second batch is committed twice."""
+    path, version = public_tokenizers.path("byte_bpe_50k.tiktoken"), F.lit("byte_bpe_50k").alias("tokenizer")
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    rows = documents.select("doc_id", "text", "source", "lang", version)
+    marks = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    root = shared_dir(spark, "token-rollup")
+    counted = token_rollups.with_token_counts(rows, path).join(marks, "doc_id", "left")
+    counted.write.parquet(f"{root}-counts")
+    counted = spark.read.parquet(f"{root}-counts")
+    rollup = token_rollups.Rollup(spark, root)
+    rollup.commit("1-insert", token_rollups.deltas(counted, 1))
+    unfit = marks.filter("quality = 0").select("doc_id")
+    tidy = rows.withColumn("text", F.regexp_replace("text", r"\s+", " ")).join(unfit, "doc_id", "left_semi")
+    revised = token_rollups.with_token_counts(tidy, path)
+    changes = token_rollups.deltas(counted.filter("quality = 0"), -1).union(token_rollups.deltas(revised, 1))
+    for _ in range(2):
+        rollup.commit("2-revise", changes)
+    rollup.commit("3-delete", token_rollups.deltas(counted.filter("toxic = 1 AND quality <> 0"), -1))
+    return rollup.totals()
+
+
+@query("op9_toxicity")
+def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, table(spark, folder, "labels")))

@@ -19,6 +19,8 @@ _MULTIPLIERS = _RANDOM.integers(1, 2**63, (2, 64), dtype=np.uint64) * np.uint64(
 
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
+_IS_LETTER = _IS_WORD.copy()
+_IS_LETTER[[b for b in range(0x80) if not chr(b).isalnum()]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
@@ -52,12 +54,15 @@ def text_buffer(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return data, offsets - offsets[0]
 
 
-def words_of(texts: pa.Array | pa.ChunkedArray, lower: bool = False) -> Words:
-    """All words of all rows; ``lower`` turns A-Z into a-z and nothing else."""
+def words_of(texts: pa.Array | pa.ChunkedArray, lower: bool = False, letters_only: bool = False) -> Words:
+    """All words of all rows; ``lower`` turns A-Z into a-z and nothing else.
+
+    With ``letters_only`` all ASCII bytes but letters and digits separate words.
+    """
     data, offsets = text_buffer(texts)
     if lower:
         data = _LOWER[data]
-    inside = _IS_WORD[data]
+    inside = (_IS_LETTER if letters_only else _IS_WORD)[data]
     begins, closes = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]

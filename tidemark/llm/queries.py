@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, kd_shards, near_dedup, substring_dedup, token_rollups, toxicity
+from tidemark.llm import (
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    kd_shards,
+    near_dedup,
+    piece_sampling,
+    substring_dedup,
+    token_files,
+    token_rollups,
+    toxicity,
+)
 from tidemark.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +127,20 @@ def _contaminated(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query("op6_token_files")
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{shared_dir(spark, 'tokens')}/files"
+    token_files.write_tokens(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_tokens(spark, path)
+
+
+@query("op7_piece_sampling")
+def _pieces(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return piece_sampling.sample_pieces(documents, path, with_ids=False)
+
+
 @query("op8_token_rollups")
 def _rollups(spark: SparkSession, folder: str) -> DataFrame:
     """All documents are inserted, those labelled unfit get a revised count (white space runs
@@ -144,3 +169,8 @@ def _rollups(spark: SparkSession, folder: str) -> DataFrame:
 def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return toxicity.score(documents, toxicity.fit(documents, table(spark, folder, "labels")))
+
+
+@query("op10_html_extract")
+def _pages(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, folder, "pages"))

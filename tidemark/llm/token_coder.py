@@ -18,7 +18,7 @@ SLOTS = 4096
 TOP = np.uint64(1 << 24)
 BOTTOM = np.uint64(1 << 16)
 MASK = np.uint64(0xFFFFFFFF)
-LIMIT = 1 << 13  # of a row of frequencies, under BOTTOM
+LIMIT = 800  # of one frequency; 64 of them, or two rows of three, stay under BOTTOM
 STEP = 32
 GROUPS = ((10, 64), (5, 32), (0, 32))  # shift and width of the bits of an id
 TREE_ROWS = (1, 64, 1024)
@@ -111,10 +111,12 @@ class Decoder:
         return symbol
 
 
-def _learn(table: np.ndarray, row: np.ndarray, symbol: np.ndarray) -> None:
-    """Adds to the frequencies of the symbols seen, and halves rows that grew over the limit."""
-    table[row, symbol] += STEP
-    full = row[table[row].sum(axis=1, dtype=np.uint32) > LIMIT]
+def _learn(table: np.ndarray, row: np.ndarray, symbol: np.ndarray, seen: np.ndarray) -> None:
+    """Adds to the frequencies of the symbols seen, and halves rows whose symbol grew over the
+    limit; ``seen`` are the frequencies of these symbols before."""
+    flat = table.reshape(-1)
+    flat[row * table.shape[1] + symbol] = seen + STEP
+    full = row[seen > LIMIT]
     if len(full):
         table[full] = (table[full] >> 1) | 1
 
@@ -146,7 +148,7 @@ def run_model(coder: Encoder | Decoder, sizes: np.ndarray, ids: np.ndarray | Non
             kind = np.where(actual == named[0], 0, np.where(actual == named[1], 1, 2))
         kind = coder.code(lane, hits[0][ctx[0]] + hits[1][ctx[1]], kind if ids is not None else None)
         for table, row in zip(hits, ctx, strict=True):
-            _learn(table, row, kind)
+            _learn(table, row, kind, table[row, kind])
         other = np.flatnonzero(kind == 2)
         found = np.where(kind == 0, named[0], named[1]) if actual is None else actual
         if len(other):
@@ -154,8 +156,9 @@ def run_model(coder: Encoder | Decoder, sizes: np.ndarray, ids: np.ndarray | Non
             for table, rows, (shift, width) in zip(tree, TREE_ROWS, GROUPS, strict=True):
                 row = other * rows + prefix % rows
                 bits = None if actual is None else (actual[other] >> shift) & (width - 1)
-                bits = coder.code(other, table[row], bits)
-                _learn(table, row, bits)
+                rows_ = table[row]
+                bits = coder.code(other, rows_, bits)
+                _learn(table, row, bits, rows_[np.arange(len(other)), bits])
                 prefix = prefix * width + bits
             if actual is None:
                 found[other] = prefix

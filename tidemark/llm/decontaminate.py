@@ -1,9 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 The benchmark is taken in blocks of bounded size, each sent to all tasks. A first pass counts
-in how many documents each n-gram of the block occurs; the rarer half of an item's n-grams
-are its seeds, so that an item keeps seeds however often it was copied. A second pass aligns
-the words around each seed with the item.
+in how many documents each n-gram of the block occurs. An item's seeds are the n-grams that
+are rare, or no more frequent than the item itself can explain, so that an item keeps seeds
+however often it was copied. A second pass aligns the words around each seed with the item.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ SEED_WORDS = 3
 BLOCK_BYTES = 8 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 SIMILARITY = 0.5  # of the score that the whole item would get
+SPREAD, RARE_SHARE = 8, 0.001
 BATCH = 512
 
 
@@ -69,13 +70,15 @@ class _Block:
         self.items, self.places = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (items, places))
         self.distinct = np.unique(self.hashes)
 
-    def keep_rarer_half(self, counts: dict[int, int]) -> None:
-        """Leaves each item the half of its n-grams that occur in the fewest documents."""
-        often = np.array([counts.get(int(h), 0) for h in self.hashes.view(np.int64)])
-        order = np.lexsort((self.hashes, often, self.items))
-        borders = np.searchsorted(self.items[order], np.arange(len(self.ids) + 1))
-        keep = [order[a : a + (b - a + 1) // 2] for a, b in zip(borders[:-1], borders[1:], strict=True)]
-        keep = np.concatenate([*keep, order[:0]])
+    def keep_rare(self, counts: dict[int, int], documents: int) -> None:
+        """Leaves each item its n-grams that occur, but for those that are far more frequent
+        than the item itself seems to be: over ``SPREAD`` times the upper quartile of its
+        n-grams' counts and over ``RARE_SHARE`` of the documents."""
+        often = np.array([counts.get(int(h), 0) for h in self.hashes.view(np.int64)], dtype=np.int64)
+        most = np.zeros(len(self.ids))
+        for item in np.unique(self.items[often > 0]).tolist():
+            most[item] = SPREAD * np.quantile(often[(self.items == item) & (often > 0)], 0.75)
+        keep = np.flatnonzero((often > 0) & (often <= np.maximum(most[self.items], RARE_SHARE * documents)))
         keep = keep[np.argsort(self.hashes[keep], kind="stable")]
         self.hashes, self.items, self.places = self.hashes[keep], self.items[keep], self.places[keep]
         self.distinct = np.unique(self.hashes)
@@ -151,6 +154,7 @@ def contaminated(
     texts = docs.select(F.col(key), F.col(text))
     kinds = docs.schema[key].dataType.simpleString(), benchmark.schema[item_key].dataType.simpleString()
     schema = f"{key} {kinds[0]}, {item_key} {kinds[1]}, score int, similarity double, end_word long"
+    documents = docs.count()
     item_type = pa.array([r["id"] for r in items.select("id").limit(1).collect()])
 
     def pairs_of(part: int) -> DataFrame:
@@ -172,7 +176,7 @@ def contaminated(
             )
 
         counted = texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        block.keep_rarer_half({r["gram"]: r["n"] for r in counted.collect()})
+        block.keep_rare({r["gram"]: r["n"] for r in counted.collect()}, documents)
         seeds = spark.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -166,3 +166,19 @@ def test_long_cells_give_the_same_rows(raw, sheets):
 def test_content_is_read_only_when_used(spark, folder):
     plan = list_files(spark, str(folder)).select("path")._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1]
+
+
+def test_wide_rows_and_rewrites(spark, tmp_path):
+    """Rows wider than usual keep all cells, and writing a sheet again replaces it."""
+    out = str(tmp_path / "wide")
+    cells = lambda n: [("s", f"c{i}") if i % 3 else None for i in range(n)]
+    schema = "source_filename string, row_idx int, cells array<struct<kind: string, text: string>>"
+    first = spark.createDataFrame([("a.xlsm", 1, cells(20)), ("a.xlsm", 2, cells(3)), ("b.xlsm", 1, cells(2))], schema)
+    again = spark.createDataFrame([("a.xlsm", 1, cells(25))], schema)
+    write_sheet_csv(first, out)
+    write_sheet_csv(again, out)
+    found = {(r.source_filename, r.row_idx): r.cells for r in reload_sheet_csv(spark, out).collect()}
+    assert sorted(found) == [("a", 1), ("b", 1)]
+    assert [c and c.text for c in found["a", 1]][:25] == [c and c[1] for c in cells(25)]
+    with pytest.raises(ValueError, match="25 cells"):
+        write_sheet_csv(again, out, width=13)

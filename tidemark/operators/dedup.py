@@ -22,9 +22,17 @@ def new_content(
     reaches the join once.
     """
     first = first_per_key(batch, on, order)
-    if history is None:
-        return first
-    return first.join(history.select(*on), list(on), "left_anti")
+    return first if history is None else _unseen(first, history, on)
+
+
+def _unseen(rows: DataFrame, history: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows whose keys are not in history.
+
+    An anti join can only broadcast history. So history is cut down to the keys of the
+    rows first, where Catalyst may broadcast these: a small batch shuffles no history.
+    """
+    seen = history.select(*on).join(rows.select(*on), list(on), "left_semi")
+    return rows.join(seen, list(on), "left_anti")
 
 
 def load_status(
@@ -46,8 +54,15 @@ def load_status(
     )
 
 
-def insert_if_absent(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows to append so that ``keys`` stay unique; equal incoming keys must be equal rows."""
-    return incoming.dropDuplicates(list(keys)).join(
-        existing.select(*keys), list(keys), "left_anti"
-    )
+def insert_if_absent(
+    incoming: DataFrame,
+    existing: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str] | None = None,
+) -> DataFrame:
+    """Rows to append so that ``keys`` stay unique; of equal incoming keys the first by ``order``.
+
+    Without an order the other columns decide, so the survivor is always the same row.
+    """
+    rest = [c for c in incoming.columns if c not in keys]
+    return _unseen(first_per_key(incoming, keys, order or rest or list(keys)), existing, keys)

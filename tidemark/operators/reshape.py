@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import CHUNK, OrderedGroups
+from tidemark.operators.ordered import OrderedGroups
 
 PAGE_ROWS = 10_000
 
@@ -55,19 +55,11 @@ def nest_children(
     groups = OrderedGroups(
         children.select(*dict.fromkeys([on, *order, *fields])), [on], order, max_rows
     )
-    numbered = groups.add(groups.df, _no=groups.number())
-    # Pages are cut within a chunk, so this grouping needs no further shuffle.
+    numbered = groups.done(groups.add(groups.df, _no=groups.number()))
+    # A page follows from the row's number alone, so it is the same however the rows were cut.
     paged = numbered.withColumn("page", F.floor((F.col("_no") - 1) / page_rows))
     child = F.struct(F.col("_no"), *[F.col(f).alias(f) for f in fields])
-    lists = paged.groupBy(*groups.partition, "page").agg(
-        F.array_sort(F.collect_list(child)).alias(name)
-    )
-    if groups.split:
-        # A page cut by a chunk border stays in two rows; number the rows anew.
-        lists = lists.withColumn("_first", F.element_at(name, 1)["_no"])
-        again = OrderedGroups(lists.drop(CHUNK, "page"), [on], ["_first"], max_rows)
-        lists = again.done(again.add(again.df, page=again.number())).withColumn("page", F.col("page") - 1)
-        lists = lists.drop("_first")
+    lists = paged.groupBy(on, "page").agg(F.array_sort(F.collect_list(child)).alias(name))
     stripped = F.transform(name, lambda c: F.struct(*[c[f].alias(f) for f in fields]))
     lists = lists.select(on, "page", stripped.alias(name))
     empty = F.array().cast(lists.schema[name].dataType)

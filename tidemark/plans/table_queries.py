@@ -253,17 +253,22 @@ def upload_stats(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT o_orderkey, o_orderdate, CAST(0 AS BIGINT) AS page, CAST(count(l_orderkey) AS INTEGER) AS n,
+    WITH numbered AS (
+        SELECT *, (row_number() OVER (PARTITION BY l_orderkey
+                                      ORDER BY l_linenumber, l_partkey, l_suppkey) - 1) // 3 AS page
+        FROM lineitem)
+    SELECT o_orderkey, o_orderdate, CAST(coalesce(page, 0) AS BIGINT) AS page,
+           CAST(count(l_orderkey) AS INTEGER) AS n,
            coalesce(string_agg(l_linenumber || ':' || l_partkey, ','
                                ORDER BY l_linenumber, l_partkey, l_suppkey), '') AS items
-    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
-    GROUP BY o_orderkey, o_orderdate
+    FROM orders LEFT JOIN numbered ON l_orderkey = o_orderkey
+    GROUP BY o_orderkey, o_orderdate, page
 """)
 def parent_with_children(t: Tables) -> DataFrame:
     children = t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey")
     nested = reshape.nest_children(
         t.orders.select("o_orderkey", "o_orderdate"), children, "o_orderkey",
-        ["l_linenumber", "l_partkey", "l_suppkey"], ["l_linenumber", "l_partkey"], "children",
+        ["l_linenumber", "l_partkey", "l_suppkey"], ["l_linenumber", "l_partkey"], "children", page_rows=3,
     )
     item = lambda c: F.concat_ws(
         ":", c["l_linenumber"].cast("string"), c["l_partkey"].cast("string")
@@ -451,11 +456,12 @@ def load_counts(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT DISTINCT item_id, text FROM benchmark b
-    WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.text = b.text)
+    SELECT min(doc_id) AS doc_id, text FROM documents d
+    WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE d.text = b.text) GROUP BY text
 """)
 def insert_if_absent(t: Tables) -> DataFrame:
-    return dedup.insert_if_absent(t.benchmark, t.documents, ["text"]).select("item_id", "text")
+    rows = dedup.insert_if_absent(t.documents, t.benchmark, ["text"], ["doc_id"])
+    return rows.select("doc_id", "text")
 
 
 # --- reshaping --------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import file_stem, strip
 
-SHEET_WIDTH = 13
+SHEET_WIDTH = 13  # the usual number of columns; wider sheets keep all of theirs
 
 _NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
 
@@ -28,18 +28,38 @@ def _cells(width: int) -> Column:
     return F.array(*[cell(f"col_{i}") for i in range(width)]).alias("cells")
 
 
+def _enough(widest: int | None, width: int | None) -> int:
+    """The columns to use for rows of up to ``widest`` cells; a given width must do."""
+    widest = widest or 0
+    if width is not None and width < widest:
+        raise ValueError(f"a row has {widest} cells, which do not fit into {width} columns")
+    return width if width is not None else max(widest, SHEET_WIDTH)
+
+
+def _width_of_files(spark: SparkSession, path: str) -> int:
+    """At least the cells of the widest row: a comma may also stand inside a cell."""
+    fields = F.size(F.split("value", ",")) - 1
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    return _enough(lines.agg(F.max(fields).alias("n")).first()["n"], None)
+
+
 def read_sheet_csv(
-    spark: SparkSession, path: str, width: int = SHEET_WIDTH, suffix: str = "_master"
+    spark: SparkSession, path: str, width: int | None = None, suffix: str = "_master"
 ) -> DataFrame:
-    """Sheet rows from files ``<name><suffix>.csv``."""
+    """Sheet rows from files ``<name><suffix>.csv``, as wide as the widest row."""
+    width = width or _width_of_files(spark, path)
     stem = file_stem(F.col("_metadata.file_path"))
     return spark.read.schema(_schema(width)).csv(path).select(
         F.regexp_replace(stem, f"{suffix}$", "").alias("source_filename"), "row_idx", _cells(width)
     )
 
 
-def write_sheet_csv(sheet_rows: DataFrame, path: str, width: int = SHEET_WIDTH) -> None:
-    """One CSV folder per sheet (``stem=<name>_master``), rows in sheet order."""
+def write_sheet_csv(sheet_rows: DataFrame, path: str, width: int | None = None) -> None:
+    """One CSV folder per sheet (``stem=<name>_master``), rows in sheet order, all cells.
+
+    A sheet that is there already is replaced; the other sheets of the folder stay.
+    """
+    width = _enough(sheet_rows.agg(F.max(F.size("cells")).alias("n")).first()["n"], width)
     columns = [
         F.try_element_at("cells", F.lit(i + 1))["text"].alias(f"col_{i}") for i in range(width)
     ]
@@ -49,12 +69,14 @@ def write_sheet_csv(sheet_rows: DataFrame, path: str, width: int = SHEET_WIDTH)
         # Range partitioning also splits one very long sheet over several files.
         .repartitionByRange("stem", "row_idx")
         .sortWithinPartitions("stem", "row_idx")
-        .write.mode("append").partitionBy("stem").csv(path, header=False)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("stem").csv(path, header=False)
     )
 
 
-def reload_sheet_csv(spark: SparkSession, path: str, width: int = SHEET_WIDTH) -> DataFrame:
+def reload_sheet_csv(spark: SparkSession, path: str, width: int | None = None) -> DataFrame:
     """Sheet rows from a folder written by :func:`write_sheet_csv`."""
+    width = width or _width_of_files(spark, path)
     schema = _schema(width).add("stem", T.StringType())
     return spark.read.schema(schema).csv(path, header=False).select(
         F.regexp_replace("stem", "_master$", "").alias("source_filename"), "row_idx", _cells(width)

@@ -101,11 +101,11 @@ def test_messages(check):
         {"industry_weight_1": 0.5, "industry_weight_2": 0.5},
     )
     assert messages(part)[COVERAGE[:2]] == (
-        "4/6 expected metrics present; missing: Scope-adjusted debt/EBITDA, Scope-adjusted loan/value"
+        "4/6 metrics found, without Scope-adjusted debt/EBITDA, Scope-adjusted loan/value"
     )
-    assert "'eu' must be 3 uppercase letters" in messages(part)["currency", "iso3_format"]
-    assert messages(weights)["industry_weight", "weights_sum_to_one"] == "Industry weights sum to 0.5000, expected ~1.0"
-    assert "'Cars' is named" in messages(risk)["industry_risk_2", "dual_risk_consistency"]
+    assert "'eu' is no three-letter currency code" in messages(part)["currency", "iso3_format"]
+    assert messages(weights)["industry_weight", "weights_sum_to_one"] == "Industry weights add up to 0.5000, not to one"
+    assert "'Cars' comes without" in messages(risk)["industry_risk_2", "dual_risk_consistency"]
     assert "industry_weight_2=0.5 is set" in messages(weight)["industry_risk_2", "dual_risk_consistency"]
 
 

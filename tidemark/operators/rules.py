@@ -75,12 +75,12 @@ def _blank(col: Column) -> Column:
 
 
 def _missing_or(field: str, text: Column) -> Column:
-    return F.when(F.col(field).isNull(), f"{field} is missing").otherwise(text)
+    return F.when(F.col(field).isNull(), f"{field} is null").otherwise(text)
 
 
 def not_null(field: str, severity: str = CRITICAL) -> Rule:
     return rule(
-        field, "not_null", ~_blank(F.col(field)), severity, f"{field} is required but missing or empty"
+        field, "not_null", ~_blank(F.col(field)), severity, f"{field} has no value"
     )
 
 
@@ -100,7 +100,7 @@ def month(field: str) -> Rule:
     number = F.when(text.rlike("^[0-9]+$"), text.try_cast("int"))
     passed = text.isin(MONTHS) | F.coalesce(number.between(1, 12), F.lit(False))
     message = F.concat(
-        F.lit(f"{field} '"), col, F.lit("' is not a valid month name or 1-12 integer")
+        F.lit(f"{field} '"), col, F.lit("' names no month")
     )
     return rule(field, "valid_month", passed, WARNING, _missing_or(field, message))
 
@@ -108,7 +108,7 @@ def month(field: str) -> Rule:
 def in_scale(field: str, scale: Sequence[str], severity: str = WARNING) -> Rule:
     """The value is in the scale; null passes."""
     col = F.col(field)
-    message = F.concat(F.lit(f"{field} value '"), col, F.lit("' not in recognised rating scale"))
+    message = F.concat(F.lit(f"{field} value '"), col, F.lit("' lies outside the rating scale"))
     return rule(field, "rating_scale", col.isNull() | col.isin(list(scale)), severity, message)
 
 
@@ -116,8 +116,8 @@ def fraction(field: str, required: bool) -> Rule:
     """The value lies in [0, 1]; null fails only where required."""
     col = F.col(field)
     severity = CRITICAL if required else F.when(col.isNull(), WARNING).otherwise(CRITICAL)
-    message = F.when(col.isNull(), f"{field} is required but missing").otherwise(
-        F.concat(F.lit(f"{field} = "), col.cast("string"), F.lit(" must be between 0 and 1"))
+    message = F.when(col.isNull(), f"{field} has no value").otherwise(
+        F.concat(F.lit(f"{field} = "), col.cast("string"), F.lit(" lies outside 0 to 1"))
     )
     passed = F.when(col.isNull(), F.lit(not required)).otherwise(col.between(0.0, 1.0))
     return rule(field, "weight_range", passed, severity, message)
@@ -127,7 +127,7 @@ def sums_to_one(name: str, fields: Sequence[str], tolerance: float = 0.01) -> Ru
     """The fields add up to one within the tolerance, null counting as zero."""
     total = reduce(lambda a, b: a + b, [F.coalesce(F.col(f), F.lit(0.0)) for f in fields])
     label = name.replace("_", " ").capitalize()
-    message = F.format_string(f"{label}s sum to %.4f, expected ~1.0", total)
+    message = F.format_string(f"{label}s add up to %.4f, not to one", total)
     return rule(name, "weights_sum_to_one", F.abs(total - 1.0) <= tolerance, CRITICAL, message)
 
 
@@ -135,7 +135,7 @@ def known_value(field: str, known: Sequence[str]) -> Rule:
     """The value is in a known set; blank passes, another rule reports it."""
     col = F.col(field)
     message = F.concat(
-        F.lit(f"{field} '"), col, F.lit(f"' is not in the recognised set ({', '.join(sorted(known))})")
+        F.lit(f"{field} '"), col, F.lit(f"' is none of ({', '.join(sorted(known))})")
     )
     passed = _blank(col) | strip(col).isin(list(known))
     return rule(field, "known_framework", passed, WARNING, message)
@@ -146,11 +146,11 @@ def both_or_neither(named: str, weight: str) -> Rule:
     has_name, has_weight = ~_blank(F.col(named)), F.col(weight).isNotNull()
     message = F.when(
         has_name,
-        F.concat(F.lit(f"{named} '"), F.col(named), F.lit(f"' is named but {weight} is missing")),
+        F.concat(F.lit(f"{named} '"), F.col(named), F.lit(f"' comes without {weight}")),
     ).otherwise(
         F.concat(
             F.lit(f"{weight}="), F.col(weight).cast("string"),
-            F.lit(f" is set but {named} has no name"),
+            F.lit(f" stands without {named}"),
         )
     )
     return rule(named, "dual_risk_consistency", has_name == has_weight, WARNING, message)
@@ -162,7 +162,7 @@ def covers(field: str, present: Column, expected: Sequence[str]) -> Rule:
     missing = F.array_except(F.array(*[F.lit(e) for e in expected]), have)
     message = F.concat(
         F.size(F.array_distinct(have)).cast("string"),
-        F.lit(f"/{len(set(expected))} expected metrics present; missing: "),
+        F.lit(f"/{len(set(expected))} metrics found, without "),
         F.array_join(F.array_sort(missing), ", "),
     )
     return rule(field, "metrics_coverage", F.size(missing) == 0, WARNING, message)

@@ -34,46 +34,46 @@ _RECORDS_SQL = """
     checks AS (
         SELECT p_partkey, 'entity' AS field, 'not_null' AS rule,
                entity IS NOT NULL AND trim(entity) <> '' AS passed, 'CRITICAL' AS severity,
-               'entity is required but missing or empty' AS text FROM rec
+               'entity has no value' AS text FROM rec
         UNION ALL SELECT p_partkey, 'risk_2', 'not_null', risk_2 IS NOT NULL, 'WARNING',
-               'risk_2 is required but missing or empty' FROM rec
+               'risk_2 has no value' FROM rec
         UNION ALL SELECT p_partkey, 'currency', 'iso3_format',
                coalesce(regexp_matches(currency, '^[A-Z]{3}$'), false), 'CRITICAL',
-               coalesce('currency ''' || currency || ''' must be 3 uppercase letters (ISO 4217)',
-                        'currency is missing') FROM rec
+               coalesce('currency ''' || currency || ''' is no three-letter currency code',
+                        'currency is null') FROM rec
         UNION ALL SELECT p_partkey, 'year_end', 'valid_month',
                coalesce(lower(trim(year_end)) IN ('march', 'december')
                         OR TRY_CAST(year_end AS INTEGER) BETWEEN 1 AND 12, false), 'WARNING',
-               coalesce('year_end ''' || year_end || ''' is not a valid month name or 1-12 integer',
-                        'year_end is missing') FROM rec
+               coalesce('year_end ''' || year_end || ''' names no month',
+                        'year_end is null') FROM rec
         UNION ALL SELECT p_partkey, 'score', 'rating_scale', score IS NULL OR score <> 'XYZ', 'WARNING',
-               'score value ''' || score || ''' not in recognised rating scale' FROM rec
+               'score value ''' || score || ''' lies outside the rating scale' FROM rec
         UNION ALL SELECT p_partkey, 'weight_1', 'weight_range',
                coalesce(weight_1 BETWEEN 0 AND 1, false), 'CRITICAL',
-               coalesce('weight_1 = ' || weight_1 || ' must be between 0 and 1',
-                        'weight_1 is required but missing') FROM rec
+               coalesce('weight_1 = ' || weight_1 || ' lies outside 0 to 1',
+                        'weight_1 has no value') FROM rec
         UNION ALL SELECT p_partkey, 'weight_2', 'weight_range',
                weight_2 IS NULL OR weight_2 BETWEEN 0 AND 1,
                CASE WHEN weight_2 IS NULL THEN 'WARNING' ELSE 'CRITICAL' END,
-               'weight_2 = ' || weight_2 || ' must be between 0 and 1' FROM rec
+               'weight_2 = ' || weight_2 || ' lies outside 0 to 1' FROM rec
         UNION ALL SELECT p_partkey, 'part_weight', 'weights_sum_to_one',
                abs(coalesce(weight_1, 0) + coalesce(weight_2, 0) - 1) <= 0.01, 'CRITICAL',
-               'Part weights sum to ' || printf('%.4f', coalesce(weight_1, 0) + coalesce(weight_2, 0))
-               || ', expected ~1.0' FROM rec
+               'Part weights add up to ' || printf('%.4f', coalesce(weight_1, 0) + coalesce(weight_2, 0))
+               || ', not to one' FROM rec
         UNION ALL SELECT p_partkey, 'notch', 'notch_format',
                coalesce(regexp_matches(trim(notch), '^[+-][0-9]+ notch(es)?$'), false), 'WARNING',
-               coalesce('notch ''' || notch || ''' is no notch', 'notch is missing') FROM rec
+               coalesce('notch ''' || notch || ''' is no notch', 'notch is null') FROM rec
         UNION ALL SELECT p_partkey, 'risk_2', 'dual_risk_consistency',
                (risk_2 IS NOT NULL) = (weight_2 IS NOT NULL), 'WARNING',
-               coalesce('risk_2 ''' || risk_2 || ''' is named but weight_2 is missing',
-                        'weight_2=' || weight_2 || ' is set but risk_2 has no name') FROM rec
+               coalesce('risk_2 ''' || risk_2 || ''' comes without weight_2',
+                        'weight_2=' || weight_2 || ' stands without risk_2') FROM rec
         UNION ALL SELECT p_partkey, 'framework', 'known_framework', framework <> 'UK GAAP', 'WARNING',
-               'framework ''' || framework || ''' is not in the recognised set '
+               'framework ''' || framework || ''' is none of '
                || '(HGB, IFRS, Local GAAP, Swiss GAAP FER, US GAAP)' FROM rec
         UNION ALL SELECT p_partkey, 'metrics', 'metrics_coverage', shape = 0, 'WARNING',
-               CASE shape WHEN 1 THEN '1/3 expected metrics present; missing: b, c'
-                    WHEN 2 THEN '2/3 expected metrics present; missing: a, b'
-                    ELSE '0/3 expected metrics present; missing: a, b, c' END FROM rec),
+               CASE shape WHEN 1 THEN '1/3 metrics found, without b, c'
+                    WHEN 2 THEN '2/3 metrics found, without a, b'
+                    ELSE '0/3 metrics found, without a, b, c' END FROM rec),
     report AS (
         SELECT p_partkey, CAST(count(*) AS INTEGER) AS total_checks,
                CAST(count(*) FILTER (passed) AS INTEGER) AS passed,
@@ -123,7 +123,7 @@ def part_rules() -> list[R.Rule]:
         R.not_null("entity"),
         R.not_null("risk_2", R.WARNING),
         R.matches("currency", "iso3_format", CURRENCY_PATTERN, R.CRITICAL,
-                  "must be 3 uppercase letters (ISO 4217)"),
+                  "is no three-letter currency code"),
         R.month("year_end"),
         R.in_scale("score", RATING_SCALE),
         R.fraction("weight_1", required=True),

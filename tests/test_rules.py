@@ -106,7 +106,7 @@ def test_messages(check):
     assert "'eu' is no three-letter currency code" in messages(part)["currency", "iso3_format"]
     assert messages(weights)["industry_weight", "weights_sum_to_one"] == "Industry weights add up to 0.5000, not to one"
     assert "'Cars' comes without" in messages(risk)["industry_risk_2", "dual_risk_consistency"]
-    assert "industry_weight_2=0.5 is set" in messages(weight)["industry_risk_2", "dual_risk_consistency"]
+    assert "industry_weight_2=0.5 stands without" in messages(weight)["industry_risk_2", "dual_risk_consistency"]
 
 
 def test_gate_and_split(spark):

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.stash import Stash, total_bytes
-from tidemark.llm.words import ngram_hashes, ngram_starts, word_hashes, words_of
+from tidemark.llm.words import ngram_hashes, ngram_starts, small_batches, word_hashes, words_of
 
 SEED_WORDS = 3
 BLOCK_BYTES = 8 << 20
@@ -164,7 +164,7 @@ def contaminated(
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = sent.value
             counts = np.zeros(len(known.distinct), dtype=np.int64)
-            for batch in batches:
+            for batch in small_batches(batches, 1):
                 words = words_of(batch.column(1), lower=True, letters_only=True)
                 for starts, grams in known.hits(word_hashes(words), words.first):
                     row = np.searchsorted(words.first, starts, side="right") - 1
@@ -181,7 +181,7 @@ def contaminated(
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = seeds.value
-            for batch in batches:
+            for batch in small_batches(batches, 1):
                 found = words_of(batch.column(1), lower=True, letters_only=True)
                 words = word_hashes(found)
                 row, item, low, high = _windows(known, words, found.first)

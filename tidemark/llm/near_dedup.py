@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.stash import Stash
-from tidemark.llm.words import mixed, shingle_sets, words_of
+from tidemark.llm.words import mixed, shingle_sets, small_batches, words_of
 
 SHINGLE = 5
 BANDS, BAND_ROWS = 32, 4
@@ -76,7 +76,7 @@ def _signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             sets = shingle_sets(words_of(batch.column(1), lower=True), SHINGLE)
             with np.errstate(over="ignore"):
                 one = np.array([s.sum(dtype=np.uint64) for s in sets], dtype=np.uint64)
@@ -123,7 +123,7 @@ def _sets(docs: DataFrame, key: str, text: str, ids: DataFrame, stash: Stash) ->
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             sets = shingle_sets(words_of(batch.column(1), lower=True), SHINGLE)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "members"]

@@ -16,10 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import mixed
+from tidemark.llm.words import mixed, small_batches
 
 MARK, LITERAL_MARK = 0x2581, 0x110000  # the mark for spaces, and a mark that the text itself holds
-SPAN = 1 << 22  # characters whose lattices are held at a time
+SPAN = 1 << 21  # characters whose lattices are held at a time
 BYTE_COST = -12.0
 _MODELS: dict[tuple[str, float], "PieceModel"] = {}
 
@@ -224,7 +224,7 @@ def sample_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path, sharpness)
-        for batch in batches:
+        for batch in small_batches(batches, len(kept)):
             texts = [t or "" for t in batch.column(batch.num_columns - 2).to_pylist()]
             seeds = batch.column(batch.num_columns - 1).to_numpy().view(np.uint64)
             for part in _spans(texts):

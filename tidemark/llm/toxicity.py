@@ -15,9 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import Words, mixed, text_buffer, word_hashes, words_of
+from tidemark.llm.words import Words, mixed, small_batches, text_buffer, word_hashes, words_of
 
-FIT_ROWS = 20_000
+FIT_ROWS = 8_000
 FOLDS = 5
 BUCKET_BITS = 18
 PREFIX_BYTES = (4, 5)
@@ -110,6 +110,9 @@ class Linear:
 
 def fit_chain(row: np.ndarray, bucket: np.ndarray, labels: np.ndarray, folds: np.ndarray) -> list[Linear]:
     """One model per column of ``labels``, each fed with out-of-fold logits of those before."""
+    often = np.bincount(bucket) >= MIN_ROWS  # rarer features enter no model, nor a fold's
+    use = often[bucket]
+    row, bucket = row[use], bucket[use]
     n, before, models = len(labels), np.zeros((len(labels), 0)), []
     for y in labels.T:
         models.append(Linear(row, bucket, before, y))
@@ -147,7 +150,7 @@ def fit(
     )
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 0):
             row, bucket = features(batch.column(0))
             parts = np.split(bucket.astype(np.int32), np.searchsorted(row, np.arange(1, batch.num_rows)))
             found = [p.tobytes() for p in parts[: batch.num_rows]]
@@ -194,7 +197,7 @@ def score(
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             n = batch.num_rows
             row, bucket = features(batch.column(1))
             before = np.zeros((n, 0))
@@ -217,7 +220,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, names.index(text)):
             n = batch.num_rows
             row, bucket = features(batch.column(names.index(text)))
             before = np.zeros((n, 0))

@@ -6,12 +6,15 @@ UTF-8 buffer of a text column at once; no Python object is made per word.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+BATCH_BYTES = 4 << 20
+
 _RANDOM = np.random.default_rng(20240229)
 _BYTE_VALUES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -54,6 +57,18 @@ def text_buffer(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return data, offsets - offsets[0]
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], column: int, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of text, to bound a task's memory."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        begin = 0
+        while begin < batch.num_rows:
+            before = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
 def words_of(texts: pa.Array | pa.ChunkedArray, lower: bool = False, letters_only: bool = False) -> Words:
     """All words of all rows; ``lower`` turns A-Z into a-z and nothing else.
 

@@ -150,15 +150,14 @@ def _rollups(spark: SparkSession, folder: str) -> DataFrame:
     rows = documents.select("doc_id", "text", "source", "lang", version)
     marks = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     root = shared_dir(spark, "token-rollup")
-    counted = token_rollups.with_token_counts(rows, path).join(marks, "doc_id", "left")
+    tidy = {"n_tidy": F.regexp_replace("text", r"\s+", " ")}
+    counted = token_rollups.with_token_counts(rows, path, also=tidy).join(marks, "doc_id", "left")
     counted.write.parquet(f"{root}-counts")
     counted = spark.read.parquet(f"{root}-counts")
     rollup = token_rollups.Rollup(spark, root)
     rollup.commit("1-insert", token_rollups.deltas(counted, 1))
-    unfit = marks.filter("quality = 0").select("doc_id")
-    tidy = rows.withColumn("text", F.regexp_replace("text", r"\s+", " ")).join(unfit, "doc_id", "left_semi")
-    revised = token_rollups.with_token_counts(tidy, path)
-    changes = token_rollups.deltas(counted.filter("quality = 0"), -1).union(token_rollups.deltas(revised, 1))
+    unfit = counted.filter("quality = 0")
+    changes = token_rollups.deltas(unfit, -1).union(token_rollups.deltas(unfit, 1, "n_tidy"))
     for _ in range(2):
         rollup.commit("2-revise", changes)
     rollup.commit("3-delete", token_rollups.deltas(counted.filter("toxic = 1 AND quality <> 0"), -1))

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DIMENSIONS = ("source", "lang", "tokenizer")
@@ -28,21 +28,35 @@ def encoder(path: str):
     return _ENCODERS[path]
 
 
-def with_token_counts(docs: DataFrame, path: str, text: str = "text", name: str = "n_tokens") -> DataFrame:
-    """Adds the number of tokens of the whole text; a null text has none."""
-    columns = [c for c in docs.columns if c != name]
-    at = columns.index(text)
-    rows = docs.select(*(F.col(c) for c in columns))
+def with_token_counts(
+    docs: DataFrame, path: str, text: str = "text", name: str = "n_tokens", also: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """The rows without their text, with the number of tokens of the whole text; a null text has none.
+
+    ``also`` names further counts, each of a changed form of the text. They come from the same
+    pass, so no text is shuffled to find them; a form that equals the text is not encoded again.
+    Columns that are called like the new ones are replaced.
+    """
+    also = dict(also or {})
+    names, extra = [name, *also], len(also)
+    kept = [c for c in docs.columns if c != text and c not in names]
+    forms = [F.when(form != F.col(text), form).alias(f"_form{i}") for i, form in enumerate(also.values())]
+    rows = docs.select(*(F.col(c) for c in kept), F.col(text).alias("_text"), *forms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode_ordinary
         for batch in batches:
-            counts = np.fromiter((len(encode(v.as_py() or "")) for v in batch.column(at)), np.int64, batch.num_rows)
-            kept = [batch.column(i) for i in range(batch.num_columns) if i != at]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(counts)], [*(c for c in columns if c != text), name])
-
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns if c != text]
-    return rows.mapInArrow(run, ", ".join([*fields, f"{name} long"]))
+            counts = [np.fromiter((len(encode(v.as_py() or "")) for v in batch.column(len(kept))), np.int64, batch.num_rows)]
+            for i in range(extra):
+                form = batch.column(len(kept) + 1 + i)
+                changed = np.flatnonzero(form.is_valid().to_numpy(zero_copy_only=False))
+                counts.append(counts[0].copy())
+                counts[-1][changed] = [len(encode(form[at].as_py())) for at in changed.tolist()]
+            columns = [batch.column(i) for i in range(len(kept))]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(c) for c in counts)], [*kept, *names])
+
+    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
+    return rows.mapInArrow(run, ", ".join([*fields, *(f"`{n}` long" for n in names)]))
 
 
 def deltas(rows: DataFrame, sign: int, tokens: str = "n_tokens") -> DataFrame:

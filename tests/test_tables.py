@@ -42,6 +42,8 @@ def test_latest(spark):
     assert rows(latest_per_key(df, ["k"], ["t", "id"]), "id") == [(3,), (5,)]  # nulls sort first when descending
     assert rows(nth_occurrence(df, ["k"], ["id"], 2), "id") == [(2,), (5,)]
     assert rows(first_occurrences(df, ["k"], ["id"], 2, "n"), "id", "n") == [(1, 1), (2, 2), (4, 1), (5, 2)]
+    many = spark.range(3000).select((F.col("id") % 1500 > 0).alias("k"), "id")
+    assert rows(nth_occurrence(many, ["k"], ["id"], 1001, max_rows=400), "id") == [(1002,)]
     parents = spark.createDataFrame([(1, "x")], "k int, name string")
     found = latest_with_parent(df, parents, "k", "name", ["t", "id"])
     assert rows(found, "name", "id") == [("x", 3), (None, 5)]
@@ -94,11 +96,11 @@ def test_audit(spark):
 def test_left_join_totals_equal_the_plain_join(spark):
     parents = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id int, f string")
     children = spark.createDataFrame([(1, 7), (1, 7), (1, 8), (2, 7)], "id int, c int")
-    measures = [F.count_distinct("f").alias("f"), F.count_distinct("c").alias("c")]
-    found = lookup.left_join_totals(parents, children, "id", "c", measures, "n").first()
+    measures = [F.count_distinct("f").alias("f")]
+    found = lookup.left_join_totals(parents, children, "id", "c", measures, "n", "c").first()
     joined = parents.join(children, "id", "left")
     assert (found["n"], found["f"], found["c"]) == (joined.count(), 2, 2)
-    assert lookup.left_join_totals(parents.filter("id > 9"), children, "id", "c", measures, "n").first()["n"] == 0
+    assert lookup.left_join_totals(parents.filter("id > 9"), children, "id", "c", measures, "n", "c").first()["n"] == 0
 
 
 def test_filters(spark):

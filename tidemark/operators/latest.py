@@ -36,18 +36,29 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return first_per_key(df, keys, _desc(order))
 
 
-def nth_occurrence(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+def nth_occurrence(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, max_rows: int | None = None
+) -> DataFrame:
     """The n-th row of each group in ascending order; groups with fewer rows vanish."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(window)).filter(f"_rn = {n}").drop("_rn")
+    return first_occurrences(df, keys, order, n, "_rn", max_rows).filter(f"_rn = {n}").drop("_rn")
 
 
 def first_occurrences(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, name: str, max_rows: int | None = None
 ) -> DataFrame:
-    """The first ``n`` rows of each group, numbered from 1 in ``name``."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
+    """The first ``n`` rows of each group, numbered from 1 in ``name``.
+
+    Up to the limit of Spark's window group limit each map task keeps ``n`` rows per group;
+    beyond it a large group is numbered piece by piece. ``order`` must then be total.
+    """
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n <= limit:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        numbered = df.withColumn(name, F.row_number().over(window))
+    else:
+        groups = OrderedGroups(df, keys, order, max_rows)
+        numbered = groups.done(groups.add(groups.df, **{name: groups.number()}))
+    return numbered.filter(F.col(name) <= n)
 
 
 def latest_with_parent(

@@ -164,13 +164,12 @@ def upload_stats(
     """
     measures = [
         F.count_distinct("source_filename").alias("unique_files"),
-        F.count_distinct("company_id").alias("unique_companies"),
         F.min("loaded_at_utc").alias("earliest_upload"),
         F.max("loaded_at_utc").alias("latest_upload"),
     ]
     facts = fact_ratings.select("upload_id", "company_id")
     stats = left_join_totals(
-        upload_log, facts, "upload_id", "company_id", measures, "total_uploads"
+        upload_log, facts, "upload_id", "company_id", measures, "total_uploads", "unique_companies"
     )
     if dim_company is None:
         return stats

@@ -42,11 +42,29 @@ def test_heavy_keys_are_split_and_the_rest_is_not(skewed):
     assert groups.df.count() == 4000
 
 
-def test_small_input_is_not_probed(skewed):
+def test_without_heavy_keys_nothing_is_split(skewed):
     groups = OrderedGroups(skewed, ["key"], ["t", "id"])
     assert not groups.split and CHUNK not in groups.df.columns
 
 
+def test_more_heavy_keys_than_shuffle_partitions(spark):
+    """Every heavy key is cut, however many there are; the estimate of an exploded input is not asked."""
+    rows = spark.range(24).select(F.col("id").alias("key"), F.explode(F.sequence(F.lit(1), F.lit(500))).alias("t"))
+    groups = OrderedGroups(rows, ["key"], ["t"], max_rows=100)
+    sizes = groups.df.groupBy("key", CHUNK).count().collect()
+    assert max(r["count"] for r in sizes) < 300
+    assert {r["key"] for r in sizes} == set(range(24)) and all(r[CHUNK] is not None for r in sizes)
+    numbered = groups.add(groups.df, no=groups.number(), before=groups.lag(F.col("t")))
+    assert numbered.filter("no <> t OR before.v <> t - 1 OR (before IS NULL AND t > 1)").count() == 0
+    assert numbered.count() == 12_000
+
+
+def test_no_hint_forces_a_broadcast(skewed):
+    groups = OrderedGroups(skewed, ["key"], ["t", "id"], max_rows=150)
+    plan = groups.add(groups.df, no=groups.number())._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" not in plan.lower()
+
+
 @pytest.mark.parametrize("max_rows", [None, 150, 37])
 def test_lag_lead_number_and_carry(skewed, max_rows):
     groups = OrderedGroups(skewed, ["key"], ["t", "id"], max_rows)

@@ -1,13 +1,14 @@
 """Ordered operations within groups that stay spread out when one group is huge.
 
-A plain ``Window.partitionBy(key)`` puts a whole group into one task. Here keys
-with more rows than one task should hold are cut into *chunks*: consecutive
-ranges of the order, so (key, chunk) is the window partition. What has to cross
-a chunk border (previous value, running count, ...) comes from a summary with
-one row per chunk. The summary covers the heavy keys only and has at most as
-many rows as chunks were planned, which is what makes its broadcast safe.
-
-Keys below the limit, i.e. normally all of them, take the plain window.
+A plain ``Window.partitionBy(key)`` puts a whole group into one task. Here the rows of
+keys with more rows than one task should hold are range-partitioned by key and order and
+written once with the number of their range, the *chunk*, so (key, chunk) is the window
+partition. What has to cross a chunk border (previous value, running count, ...) comes
+from a summary with one row per heavy key and chunk: at most one row per range plus one
+per heavy key, however the keys are spread.
+
+Which keys are heavy is counted exactly, for every input. Their number is not limited,
+and they never pass through the driver. Without any, the plain window is taken.
 """
 
 from __future__ import annotations
@@ -17,38 +18,28 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tidemark.session import shared_dir
 
 # Rows of one group that a single task may sort.
 MAX_ROWS_PER_TASK = 4_000_000
-# Inputs below this many bytes on disk fit into one task whatever their keys.
-SMALL_INPUT_BYTES = 32 * 1024 * 1024
 
 CHUNK = "_chunk"
-_SAMPLES_PER_CHUNK = 32
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan, None where it is not available."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return None
 
 
 def position_in(bounds: Column, count: int | Column, value: Column) -> Column:
     """How many of the ascending ``bounds`` are <= ``value``, by binary search.
 
-    ``count`` is the number of bounds, or a Column with it for up to 2^16 bounds.
+    ``count`` is the number of bounds, as a number or a Column.
     """
-    top = count.bit_length() if isinstance(count, int) else 17
+    top = count.bit_length() if isinstance(count, int) else 31
     size = F.lit(count) if isinstance(count, int) else count
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(top))])
     return F.aggregate(
         steps,
         F.lit(0),
         lambda at, step: F.when(
-            (at + step <= size) & (F.try_element_at(bounds, at + step) <= value), at + step
+            (step <= size - at) & (F.try_element_at(bounds, at + step) <= value), at + step
         ).otherwise(at),
     )
 
@@ -70,6 +61,9 @@ class OrderedGroups:
     :meth:`add` takes a DataFrame derived from :attr:`df` by adding columns or
     removing rows; as long as no shuffle comes between, repeated calls share one
     exchange and one sort.
+
+    Making the object counts the rows per key. Only with heavy keys are rows written,
+    into the session's shared folder, where they stay until its owner clears it.
     """
 
     def __init__(
@@ -81,88 +75,54 @@ class OrderedGroups:
     ):
         self.keys, self.order = list(keys), list(order)
         self.max_rows = max_rows or MAX_ROWS_PER_TASK
-        self._splits = None
-        size = None if max_rows else estimated_bytes(df)
-        if size is None or size > SMALL_INPUT_BYTES:
-            self._splits = self._plan_splits(df)
-        self.split = self._splits is not None
-        self.df = self._with_chunk(df) if self.split else df
-        parts = self.keys + ([CHUNK] if self.split else [])
-        self.partition = parts
-        self.window = Window.partitionBy(*parts).orderBy(*self.order)
-
-    # -- planning -----------------------------------------------------------------
+        counts = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
+        heavy = counts.filter(F.col("_n") > self.max_rows)
+        rows = heavy.agg(F.sum("_n").alias("n")).first()["n"]
+        self.split = rows is not None
+        self.df = self._with_chunks(df, heavy, -(-rows // self.max_rows)) if self.split else df
+        self.partition = self.keys + ([CHUNK] if self.split else [])
+        self.window = Window.partitionBy(*self.partition).orderBy(*self.order)
+
+    # -- splitting ----------------------------------------------------------------
 
     def _order_struct(self) -> Column:
         return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(self.order)])
 
-    def _plan_splits(self, df: DataFrame) -> DataFrame | None:
-        """Split points of the heavy keys as a small local table, None without any.
+    def _with_chunks(self, df: DataFrame, heavy: DataFrame, ranges: int) -> DataFrame:
+        """The rows of heavy keys with the number of their range, all others with null.
 
-        With P shuffle partitions a key outside the P largest holds less than
-        1/P of the rows, so only the P largest need a look. Split points come
-        from a sample; they decide where a chunk ends, never which rows exist.
+        Spark samples the borders of the ranges anew in each run, so the rows are stored
+        with their number. The heavy keys are stored too: then Catalyst knows the size of
+        that side and decides by itself whether to broadcast it.
         """
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        heavy = (
-            df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") > self.max_rows)
-            .orderBy(F.desc("n")).limit(parts).collect()
-        )
-        if not heavy:
-            return None
-        rows_per_chunk = max(self.max_rows, sum(r["n"] for r in heavy) // parts)
-        plan = [
-            (*[r[k] for k in self.keys], -(-r["n"] // rows_per_chunk), r["n"]) for r in heavy
-        ]
-        schema = df.select(*self.keys).schema.add("chunks", T.IntegerType()).add("n", T.LongType())
-        wanted = self._aliased(df.sparkSession.createDataFrame(plan, schema))
-        chance = F.col("chunks") * _SAMPLES_PER_CHUNK / F.col("n")
-        sample = (
-            df.select(*self.keys, self._order_struct().alias("at"))
-            .join(F.broadcast(wanted), self._same_key(), "inner")
-            .filter(F.rand(17) < chance)
+        keys = self._stored(self._aliased(heavy.select(*self.keys)), "heavy-keys")
+        ranged = (
+            df.join(keys, self._same_key(), "left_semi")
+            .repartitionByRange(ranges, *self.keys, *self.order)
+            .withColumn(CHUNK, F.spark_partition_id())
         )
-        # Bounded: about _SAMPLES_PER_CHUNK * 2P rows in all.
-        picked = sample.groupBy(*self._names()).agg(
-            F.array_sort(F.collect_list("at")).alias("s"), F.max("chunks").alias("c")
-        )
-        step = F.size("s") / F.col("c")
-        points = F.transform(
-            F.sequence(F.lit(1), F.greatest(F.col("c") - 1, F.lit(1))),
-            lambda i: F.element_at("s", F.greatest(F.lit(1), F.floor(i * step).cast("int"))),
-        )
-        table = picked.select(*self._names(), F.array_distinct(points).alias("_points"))
-        return df.sparkSession.createDataFrame(table.collect(), table.schema)
+        light = df.join(keys, self._same_key(), "left_anti")
+        return light.withColumn(CHUNK, F.lit(None).cast("int")).unionByName(self._stored(ranged, "chunks"))
+
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = shared_dir(df.sparkSession, f"ordered-{name}")
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def _names(self) -> list[str]:
         return [f"_k{i}" for i in range(len(self.keys))]
 
     def _aliased(self, table: DataFrame) -> DataFrame:
-        for new, old in zip(self._names(), self.keys):
-            table = table.withColumnRenamed(old, new)
-        return table
+        return table.withColumnsRenamed(dict(zip(self.keys, self._names(), strict=True)))
 
     def _same_key(self, extra: Sequence[tuple[str, str]] = ()) -> Column:
         """Null-safe equality, so a group of null keys counts as a group too."""
-        pairs = list(zip(self.keys, self._names())) + list(extra)
+        pairs = list(zip(self.keys, self._names(), strict=True)) + list(extra)
         condition = F.lit(True)
         for left, right in pairs:
             condition = condition & F.col(left).eqNullSafe(F.col(right))
         return condition
 
-    def _with_chunk(self, df: DataFrame) -> DataFrame:
-        """Chunk number for the rows of heavy keys, null for all others."""
-        points = F.col("_points")
-        chunk = F.when(
-            points.isNotNull(), position_in(points, F.size(points), self._order_struct())
-        )
-        return (
-            df.join(F.broadcast(self._splits), self._same_key(), "left")
-            .withColumn(CHUNK, chunk)
-            .drop("_points", *self._names())
-        )
-
     # -- ordered columns --------------------------------------------------------------
 
     def lag(self, value: Column) -> _OrderedColumn:
@@ -210,7 +170,8 @@ class OrderedGroups:
         """``df`` with the given ordered columns, all from one pass over each chunk.
 
         The rows a summary counts are those of ``df``, so a filter before ``add``
-        holds for the neighbours across chunk borders as well.
+        holds for the neighbours across chunk borders as well. With heavy keys the
+        summary is computed and stored here, for the same reason as the heavy keys.
         """
         if not self.split:
             return df.withColumns({n: c.local for n, c in columns.items()})
@@ -225,8 +186,9 @@ class OrderedGroups:
                 *[c.carried(F.col(f"_v_{n}")).alias(f"_carry_{n}") for n, c in columns.items()],
             )
         )
+        small = self._stored(small, "borders")
         here = df.withColumns({n: c.local for n, c in columns.items()})
-        both = here.join(F.broadcast(small), self._same_key([(CHUNK, "_c")]), "left")
+        both = here.join(small, self._same_key([(CHUNK, "_c")]), "left")
         full = {n: c.joined(F.col(n), F.col(f"_carry_{n}")) for n, c in columns.items()}
         return both.withColumns(full).drop("_c", *self._names(), *[f"_carry_{n}" for n in columns])
 

@@ -26,6 +26,9 @@ _FILES = T.StructType(
     ]
 )
 
+_STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def stream_files(spark: SparkSession, folder: str, pattern: str = "*.xlsm") -> DataFrame:
     files = (
@@ -79,12 +82,19 @@ def distinct_stream(
     """Append the first row seen per key, over all history.
 
     There is no watermark: content repeated after any time must still be found, so
-    the state keeps every key.
+    the state keeps every key. It is therefore kept in RocksDB, on disk, not in the
+    executors' memory; a query takes over the settings of its session when it starts.
     """
-    return (
-        stream.dropDuplicates(list(keys))
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(output)
-    )
+    conf = stream.sparkSession.conf
+    before = conf.get(_STATE_PROVIDER)
+    conf.set(_STATE_PROVIDER, _ROCKSDB)
+    try:
+        return (
+            stream.dropDuplicates(list(keys))
+            .writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(output)
+        )
+    finally:
+        conf.set(_STATE_PROVIDER, before)

@@ -33,7 +33,7 @@ class WordwiseEncoder:
 
     A byte-level BPE first cuts a text into words, numbers, signs and white space and then
     encodes each alone. Texts of Latin letters without apostrophes are cut here, all at once;
-    other texts go to the library whole.
+    other texts, and those that hold an added token, go to the library whole.
     """
 
     LATIN = 0x180
@@ -42,6 +42,8 @@ class WordwiseEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        added = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added)) if added else None  # matched before the text is cut
         self.kind = np.zeros(self.LATIN, dtype=np.uint8)
         for code in range(self.LATIN):
             text = chr(code)
@@ -64,9 +66,11 @@ class WordwiseEncoder:
         plain = codes < self.LATIN
         plain &= self.usable[np.where(plain, codes, 0x27)]
         row = np.repeat(np.arange(len(texts)), lengths)
-        odd = np.unique(row[~plain])
         use = np.ones(len(texts), dtype=bool)
-        use[odd] = False
+        use[row[~plain]] = False
+        if self.added:
+            use[[i for i, t in enumerate(texts) if self.added.search(t)]] = False
+        odd = np.flatnonzero(~use)
         inside = use[row]
         codes, row = codes[inside], row[inside]
         starts = self._starts(codes, row)

@@ -3,7 +3,8 @@
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from tidemark.llm import token_files
+from tidemark.llm import queries, token_files
+from tidemark.llm.token_rollups import encoder
 
 
 def test_added_tokens_as_in_the_library():
@@ -14,3 +15,14 @@ def test_added_tokens_as_in_the_library():
     expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert counts.tolist() == [len(e) for e in expected]
     assert flat.tolist() == [i for e in expected for i in e] and 50256 in expected[0]
+
+
+def test_toxic_rows_are_deleted_after_their_revision(spark, tmp_path):
+    texts = {1: "a  b\t\tc", 2: "d   e", 3: "f  g", 4: "h \n i", 5: "j  k"}
+    documents = [(i, t, "s", "en" if i < 5 else "de") for i, t in texts.items()]
+    spark.createDataFrame(documents, "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(1, 0, 0), (2, 0, 1), (3, None, 1), (4, 1, 1), (5, 0, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = queries.QUERIES["op8_token_rollups"](spark, str(tmp_path)).collect()
+    encode = encoder(public_tokenizers.path("byte_bpe_50k.tiktoken")).encode_ordinary
+    assert [(r.source, r.lang, r.n_docs, r.n_tokens) for r in rows] == [("s", "en", 1, len(encode("a b c")))]

@@ -144,7 +144,8 @@ def _pieces(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_token_rollups")
 def _rollups(spark: SparkSession, folder: str) -> DataFrame:
     """All documents are inserted, those labelled unfit get a revised count (white space runs
-    made one space), those labelled toxic are deleted; the second batch is committed twice."""
+    made one space), those labelled toxic are deleted, with their revised count if they have one;
+    the second batch is committed twice."""
     path, version = public_tokenizers.path("byte_bpe_50k.tiktoken"), F.lit("byte_bpe_50k").alias("tokenizer")
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     rows = documents.select("doc_id", "text", "source", "lang", version)
@@ -160,7 +161,8 @@ def _rollups(spark: SparkSession, folder: str) -> DataFrame:
     changes = token_rollups.deltas(unfit, -1).union(token_rollups.deltas(unfit, 1, "n_tidy"))
     for _ in range(2):
         rollup.commit("2-revise", changes)
-    rollup.commit("3-delete", token_rollups.deltas(counted.filter("toxic = 1 AND quality <> 0"), -1))
+    toxic = counted.filter("toxic = 1").withColumn("n_last", F.expr("CASE WHEN quality = 0 THEN n_tidy ELSE n_tokens END"))
+    rollup.commit("3-delete", token_rollups.deltas(toxic, -1, "n_last"))
     return rollup.totals()
 
 

@@ -3,7 +3,7 @@
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from tidemark.llm import queries, token_files
+from tidemark.llm import html_extract, queries, token_files
 from tidemark.llm.token_rollups import encoder
 
 
@@ -26,3 +26,14 @@ def test_toxic_rows_are_deleted_after_their_revision(spark, tmp_path):
     rows = queries.QUERIES["op8_token_rollups"](spark, str(tmp_path)).collect()
     encode = encoder(public_tokenizers.path("byte_bpe_50k.tiktoken")).encode_ordinary
     assert [(r.source, r.lang, r.n_docs, r.n_tokens) for r in rows] == [("s", "en", 1, len(encode("a b c")))]
+
+
+def test_slots_in_all_containers_are_kept(spark):
+    rows = [
+        (i, f"http://a.example/{i}", f"<body><div class=top>Site</div><div class=content><h1>Title {i}</h1><div class=text>"
+         f"<p>Story {i} tells {i * i}.</p><p>More {i}</p></div></div><div class=second><p>Tail {i}</p></div><div class=low>Rights</div></body>")
+        for i in range(6)
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()}
+    assert found == {i: f"Title {i} Story {i} tells {i * i}. More {i} Tail {i}" for i in range(6)}

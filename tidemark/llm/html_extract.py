@@ -5,8 +5,7 @@ Tokens of a host with the same occurrence vector - as often on each page - form
 equivalence class; classes found on enough pages and, for elements, nested in a class found
 at least as widely, are the host's template. What a template holds as text is the site's; what
 is left are its slots. The slots under menus, forms, notices and the like are not the
-article; of the others those inside the article element count, or, on hosts without one,
-those under the element that holds most of the varying text.
+article; of the others those inside the article element count, or, on pages without one, all.
 """
 
 from __future__ import annotations
@@ -116,31 +115,27 @@ def _token(kind: str, path: str, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}\0{path}\0{text}") - (1 << 63)
 
 
-def page_tokens(page: str) -> dict[int, tuple[str, int, int]]:
-    """Token -> (path of an element or '' for a block, occurrences, bytes of text under it)."""
+def page_tokens(page: str) -> dict[int, tuple[str, int]]:
+    """Token -> (path of an element or '' for a block, occurrences)."""
     blocks, opened = blocks_of(page)
     out: dict[int, list] = {}
     for path in opened:
-        out.setdefault(_token("element", path, ""), [path, 0, 0])[1] += 1
-    for path, text, _, dropped in blocks:
-        out.setdefault(_token("block", path, text), ["", 0, 0])[1] += 1
-        if not dropped:
-            parts = path.split("/")
-            holder = "/".join(parts[:-1]) if len(parts) > 2 else path
-            out.setdefault(_token("element", holder, ""), [holder, 0, 0])[2] += len(text)
-    return {k: (p, n, size) for k, (p, n, size) in out.items()}
-
-
-def extract(page: str, template: set[int], root: str | None) -> str:
-    """The article's text, given the host's template tokens and the path of its main slot."""
+        out.setdefault(_token("element", path, ""), [path, 0])[1] += 1
+    for path, text, _, _ in blocks:
+        out.setdefault(_token("block", path, text), ["", 0])[1] += 1
+    return {k: (p, n) for k, (p, n) in out.items()}
+
+
+def extract(page: str, template: set[int], root: str | None = None) -> str:
+    """The article's text, given the host's template tokens: the slots that no mark rejects,
+    under ``root`` if a path is given."""
     blocks, _ = blocks_of(page)
     kept = [b for b in blocks if not b[3]]
     inside = [text for _, text, main, _ in kept if main]
     if any(main for _, _, main, _ in blocks):
         return " ".join(inside)
     slots = [(path, text) for path, text, _, _ in kept if _token("block", path, text) not in template]
-    under = [text for path, text in slots if root and (path == root or path.startswith(root + "/"))]
-    return " ".join(under or [text for _, text in slots])
+    return " ".join(text for path, text in slots if not root or f"{path}/".startswith(f"{root}/"))
 
 
 def host_of(url: str) -> F.Column:
@@ -148,7 +143,7 @@ def host_of(url: str) -> F.Column:
 
 
 def templates(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
-    """Per host: template (hashes of its block tokens) and root (path of its main slot).
+    """Per host: template (hashes of its block tokens).
 
     Counts are added up per task first; a token's occurrence vector is kept as an exclusive
     or of hashed (page, count) pairs, so no task holds the pages of a host. Only tokens on at
@@ -158,21 +153,21 @@ def templates(pages: DataFrame, key: str = "page_id", url: str = "url", page: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: tuple[list, ...] = ([], [], [], [], [], [])
+            rows: tuple[list, ...] = ([], [], [], [], [])
             for host, mark, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                for token, (path, n, size) in page_tokens(text or "").items():
-                    for column, value in zip(rows, (host, token, path, n, size, mark), strict=True):
+                for token, (path, n) in page_tokens(text or "").items():
+                    for column, value in zip(rows, (host, token, path, n, mark), strict=True):
                         column.append(value)
-            kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], ["host", "token", "path", "n", "size", "mark"]
+                [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], ["host", "token", "path", "n", "mark"]
             )
 
     source = pages.select(host_of(url).alias("host"), F.xxhash64(key, url).alias("mark"), F.col(page).alias("html"))
-    found = source.mapInArrow(run, "host string, token long, path string, n long, size long, mark long")
+    found = source.mapInArrow(run, "host string, token long, path string, n long, mark long")
     tokens = found.groupBy("host", "token").agg(
         F.count("*").alias("pages"), F.bit_xor(F.xxhash64("mark", "n")).alias("vector"),
-        F.max("path").alias("path"), F.sum("size").alias("size"),
+        F.max("path").alias("path"),
     )
     counts = source.groupBy("host").agg(F.count("*").alias("host_pages"))
     wide = tokens.join(counts, "host").filter(
@@ -181,10 +176,7 @@ def templates(pages: DataFrame, key: str = "page_id", url: str = "url", page: st
     # a block belongs to the template when an element class is found as often: it is nested there
     widest = F.max(F.when(F.col("path") != "", F.col("pages"))).over(Window.partitionBy("host"))
     valid = wide.withColumn("widest", widest).filter(F.col("pages") <= F.col("widest"))
-    return valid.groupBy("host").agg(
-        F.collect_set(F.when(F.col("path") == "", F.col("token"))).alias("template"),
-        F.max_by("path", F.when(F.col("path") != "", F.struct("size", "path"))).alias("root"),
-    )
+    return valid.groupBy("host").agg(F.collect_set(F.when(F.col("path") == "", F.col("token"))).alias("template"))
 
 
 def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
@@ -199,16 +191,16 @@ def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", page
     kinds = [pages.schema[c].dataType.simpleString() for c in (key, url)]
     known = templates(pages, key, url, page)
     rows = pages.select(host_of(url).alias("host"), F.col(key), F.col(url), F.col(page).alias("_html"))
-    rows = rows.join(known, "host", "left").select(key, url, "_html", "template", "root")
+    rows = rows.join(known, "host", "left").select(key, url, "_html", "template")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple = (None, frozenset())
         for batch in batches:
             texts = []
-            for text, template, root in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+            for text, template in zip(*(batch.column(i).to_pylist() for i in (2, 3)), strict=True):
                 if template is not last[0]:
                     last = (template, frozenset(template or ()))
-                texts.append(extract(text or "", last[1], root))
+                texts.append(extract(text or "", last[1]))
             sizes = np.array([len(t) for t in texts], dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(sizes)], [key, url, "text", "n_chars"]

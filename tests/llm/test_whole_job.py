@@ -37,3 +37,26 @@ def test_slots_in_all_containers_are_kept(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()}
     assert found == {i: f"Title {i} Story {i} tells {i * i}. More {i} Tail {i}" for i in range(6)}
+
+
+def test_template_is_made_of_ordered_nested_classes(spark):
+    """A block on most pages is the site's only with an element of its class, in one place."""
+
+    def page(i):
+        share = "<p class=tip>Tell your friends</p>"
+        note = "<div class=extra>Holiday hours</div>" if i != 2 else ""
+        common = "<p>Many wrote to us.</p>" if i not in (0, 4) else ""
+        return (
+            f"<body><article><h1>Title {i}</h1><p>Story {i} tells {i * i} things.</p>{share}</article></body>" if i >= 10 else
+            f"<body><div class=top>Site</div>{note}<div class=text><h1>Title {i}</h1><p>Story {i}.</p>{common}"
+            f"{'<p>Moved</p><p>End</p>' if i % 2 else '<p>End</p><p>Moved</p>'}</div></body>"
+        )
+
+    rows = [(i, f"http://{'b' if i >= 10 else 'a'}.example/{i}", page(i)) for i in (*range(6), *range(10, 15))]
+    copies = [(i, f"http://c.example/{i}", "<body><article><h1>One</h1><p>Same story.</p></article></body>") for i in range(20, 24)]
+    pages = spark.createDataFrame([*rows, *copies], "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()}
+    assert found[1] == "Title 1 Story 1. Many wrote to us. Moved End"  # no element comes as often; two change places
+    assert found[2] == "Title 2 Story 2. Many wrote to us. End Moved" and found[4] == "Title 4 Story 4. End Moved"
+    assert {found[i] for i in range(10, 15)} == {f"Title {i} Story {i} tells {i * i} things." for i in range(10, 15)}
+    assert {found[i] for i in range(20, 24)} == {"One Same story."}

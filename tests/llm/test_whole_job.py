@@ -1,9 +1,12 @@
 """Cases in which an operator once did less than its whole job."""
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from tidemark.llm import html_extract, queries, token_files
+from tidemark.llm import html_extract, piece_sampling, queries, token_files
 from tidemark.llm.token_rollups import encoder
 
 
@@ -60,3 +63,15 @@ def test_template_is_made_of_ordered_nested_classes(spark):
     assert found[2] == "Title 2 Story 2. Many wrote to us. End Moved" and found[4] == "Title 4 Story 4. End Moved"
     assert {found[i] for i in range(10, 15)} == {f"Title {i} Story {i} tells {i * i} things." for i in range(10, 15)}
     assert {found[i] for i in range(20, 24)} == {"One Same story."}
+
+
+def test_piece_query_returns_the_sampled_pieces(spark, tmp_path):
+    texts = {1: "some words, some more words", 2: "", 3: "日本 x"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    model = piece_sampling.piece_model(public_tokenizers.path("piece_bpe_32k.model"))
+    rows = queries.QUERIES["op7_piece_sampling"](spark, str(tmp_path)).collect()
+    assert len(rows) == 3
+    for r in rows:
+        ids = np.array(r.pieces, dtype="<i4")
+        assert r.n_pieces == len(ids) and r.pieces_crc32 == zlib.crc32(ids.tobytes())
+        assert model.decode(ids.astype(np.int64), np.array([len(ids)])) == [texts[r.doc_id].encode()]

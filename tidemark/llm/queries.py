@@ -138,7 +138,7 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
 def _pieces(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     path = public_tokenizers.path("piece_bpe_32k.model")
-    return piece_sampling.sample_pieces(documents, path, with_ids=False)
+    return piece_sampling.sample_pieces(documents, path)
 
 
 @query("op8_token_rollups")

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     decontaminate,
     exact_dedup,
+    filter_audit,
+    fingerprints,
     html_extract,
     kd_shards,
     near_dedup,
@@ -19,6 +21,7 @@ from tidemark.llm import (
     token_files,
     token_rollups,
     toxicity,
+    whitening,
 )
 from tidemark.session import shared_dir
 
@@ -100,6 +103,53 @@ FROM found WINDOW same AS (PARTITION BY t)
 """
 
 
+AUDIT_SQL = rf"""
+WITH marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+),
+found AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM found LEFT JOIN marks USING (doc_id)
+),
+counts AS (SELECT part, good, toxic, fails, count(*) AS n FROM failing GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+  JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)
+),
+places AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+),
+seen AS (
+  SELECT part, filter_order, step, own, n, good, toxic, contains(fails, own) AS bad, fails = own AS only_own,
+    translate(fails, before, '') <> fails AS gone
+  FROM counts, places
+),
+steps AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (NOT gone AND NOT bad), 0) AS kept,
+    coalesce(sum(n) FILTER (bad AND NOT gone), 0) AS removed,
+    coalesce(sum(n) FILTER (bad AND gone), 0) AS redundant,
+    coalesce(sum(n) FILTER (only_own), 0) AS unique_fails,
+    coalesce(sum(n) FILTER (bad AND NOT gone AND good), 0) AS good_lost,
+    coalesce(sum(n) FILTER (bad AND NOT gone AND toxic), 0) AS toxic_lost
+  FROM seen GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+  redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+  toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM steps
+"""
+
+
 @query("op1_near_dedup", NEAR_SQL)
 def _near(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
@@ -175,3 +225,18 @@ def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_html_extract")
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, folder, "pages"))
+
+
+@query("op11_whitening")
+def _whitened(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@query("op12_filter_audit", AUDIT_SQL)
+def _audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op13_fingerprints")
+def _fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents"))

@@ -80,16 +80,20 @@ def _gamma(u: Column) -> Column:
     return -F.log1p(u - 1)
 
 
-def samples_of(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
+def samples_of(
+    terms: DataFrame, keys: list[str], samples: int = SAMPLES, carried: tuple[str, ...] = ()
+) -> DataFrame:
     """Rows (term, counts) per ``keys`` to one row per ``keys`` with the samples of both texts.
 
-    ``here`` and ``there`` are arrays of ``samples`` 32-bit numbers, or null for a text
+    ``carried`` names further long columns, alike in all rows of a key, that pass to the
+    result without widening the grouping key. ``here`` and ``there`` are arrays of ``samples`` 32-bit numbers, or null for a text
     without words. The aggregate keeps one minimum per draw, so a text's length costs
     no memory.
     """
     groups = -(-samples // _AT_ONCE)
     logs = terms.select(
         *keys,
+        *carried,
         "term",
         F.ln(F.col("counts").bitwiseAND(F.lit((1 << 32) - 1))).alias("_lo"),
         F.ln(F.shiftright("counts", 32)).alias("_le"),
@@ -119,27 +123,35 @@ def samples_of(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> Dat
         r, b = F.col(f"_r{j}"), F.col(f"_u{j}")
         return F.col(f"_c{j}") * F.exp(r * (b - F.floor(F.col(log) / r + b) - 1))
 
+    def other(j: int) -> Column:
+        """A term that both texts hold equally often has one score."""
+        return F.when(F.col("_le") == F.col("_lo"), F.col(f"_s{j}")).otherwise(score("_le", j))
+
+    rows = rows.withColumns({f"_s{j}": score("_lo", j) for j in draws})
+    whole = [F.max(c).alias(c) for c in carried]
     least = rows.groupBy(*keys, "_g").agg(
-        *[F.min(score("_lo", j)).alias(f"_o{j}") for j in draws],
-        *[F.min(score("_le", j)).alias(f"_e{j}") for j in draws],
+        *whole,
+        *[F.min(f"_s{j}").alias(f"_o{j}") for j in draws],
+        *[F.min(other(j)).alias(f"_e{j}") for j in draws],
     )
 
     def numbers(side: str) -> Column:
         return F.array(*[F.shiftright(F.xxhash64(f"_{side}{j}"), 32).cast("int") for j in draws]).alias(side)
 
     def signature(side: str) -> Column:
-        whole = F.flatten(F.transform(F.array_sort("_parts"), lambda p: p[side]))
-        return F.when(F.col(f"_some_{side}"), F.slice(whole, 1, samples))
+        drawn = F.flatten(F.transform(F.array_sort("_parts"), lambda p: p[side]))
+        return F.when(F.col(f"_some_{side}"), F.slice(drawn, 1, samples))
 
     with_sides = least.select(
-        *keys, "_g", numbers("o"), numbers("e"),
+        *keys, *carried, "_g", numbers("o"), numbers("e"),
         F.col("_o0").isNotNull().alias("_has_o"), F.col("_e0").isNotNull().alias("_has_e"),
     )
     parts = with_sides.groupBy(*keys).agg(
+        *whole,
         F.collect_list(F.struct("_g", "o", "e")).alias("_parts"),
         F.bool_or("_has_o").alias("_some_o"), F.bool_or("_has_e").alias("_some_e"),
     )
-    return parts.select(*keys, signature("o").alias("here"), signature("e").alias("there"))
+    return parts.select(*keys, *carried, signature("o").alias("here"), signature("e").alias("there"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -171,7 +183,7 @@ def _shared_words(pairs: DataFrame, keep: list[str]) -> DataFrame:
         {
             "_words": _words(F.col("_begin")),
             "_open": ~F.right("_begin", F.lit(1)).rlike("[\\x20\\x09-\\x0D]") & (F.col("_begin") != ""),
-            "edited_sha256": F.sha2(F.concat("_begin", "_borrowed"), 256),
+            "_sha": F.sha2(F.concat("_begin", "_borrowed"), 256),
         }
     )
     part = F.when(F.col("_open"), F.element_at("_words", -1)).otherwise(F.lit(""))
@@ -256,19 +268,26 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", sampl
         F.col("_prev_h").alias("_h"),
         F.substring("_text", F.lit(1), F.col("_lent")).alias("_borrowed"),
     )
-    keys = [*_KEY, "_key", "n_chars", "_rows", "_next_id", "_next_h"]
-    pairs = _shared_words(placed.join(lent, _KEY), [*keys, "edited_sha256"])
-    runs = weighted_terms(pairs, F.col("_head"), F.col("_tail"), F.col("_new_tail"), "_terms")
-    keys.append("edited_sha256")
-    terms = runs.select(*keys, F.explode_outer("_terms").alias("_t")).select(*keys, "_t.*")
-    signed = stash.put(samples_of(terms, keys, samples), "signed")
+    kind = docs.schema[key].dataType
+    placed = placed.withColumn("_key", F.col("_key").cast("long"))
+    carried = ["_key", "n_chars", "_rows", "_next_id", "_next_h"]
+    pairs = _shared_words(placed.join(lent, _KEY), [*_KEY, *carried, "_sha"])
+    # the digest as four numbers, so that the aggregates below need no text
+    digits = {f"_sha{i}": F.conv(F.substring("_sha", 16 * i + 1, 16), 16, -10).cast("long") for i in range(4)}
+    carried += digits
+    runs = weighted_terms(
+        pairs.withColumns(digits).drop("_sha"), F.col("_head"), F.col("_tail"), F.col("_new_tail"), "_terms"
+    )
+    terms = runs.select(*_KEY, *carried, F.explode_outer("_terms").alias("_t")).select(*_KEY, *carried, "_t.*")
+    signed = stash.put(samples_of(terms, _KEY, samples, tuple(carried)), "signed")
+    digest = F.lower(F.concat(*[F.lpad(F.hex(d), 16, "0") for d in digits]))
     following = signed.select(
         F.col("_id").alias("_next_id"), F.col("_h").alias("_next_h"), F.col("here").alias("_next")
     )
     found = signed.join(following, ["_next_id", "_next_h"]).select(
-        F.col("_key").alias(key),
+        F.col("_key").cast(kind).alias(key),
         "n_chars",
-        "edited_sha256",
+        digest.alias("edited_sha256"),
         as_text(F.col("here")).alias("fingerprint"),
         as_text(F.col("there")).alias("edited_fingerprint"),
         likeness(F.col("here"), F.col("there")).alias("near_edited"),

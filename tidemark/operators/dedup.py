@@ -15,14 +15,17 @@ def new_content(
     history: DataFrame | None,
     on: Sequence[str],
     order: Sequence[Column | str],
+    stored_by: Sequence[str] = (),
 ) -> DataFrame:
     """Rows to load: the first of equal content in the batch, none seen in history.
 
     The batch is reduced first, map-side, so a content repeated a billion times
-    reaches the join once.
+    reaches the join once. ``stored_by`` names columns of both sides that follow from ``on``
+    and partition the stored history, such as a prefix of the hash: then only the
+    partitions are read in which a row of the batch can be.
     """
     first = first_per_key(batch, on, order)
-    return first if history is None else _unseen(first, history, on)
+    return first if history is None else _unseen(first, history, [*stored_by, *on])
 
 
 def _unseen(rows: DataFrame, history: DataFrame, on: Sequence[str]) -> DataFrame:

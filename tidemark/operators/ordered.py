@@ -62,8 +62,9 @@ class OrderedGroups:
     removing rows; as long as no shuffle comes between, repeated calls share one
     exchange and one sort.
 
-    Making the object counts the rows per key. Only with heavy keys are rows written,
-    into the session's shared folder, where they stay until its owner clears it.
+    Making the object counts the rows per key, unless ``at_most``, a number of rows that
+    ``df`` is known not to exceed, rules heavy keys out. Only with heavy keys are rows
+    written, into the session's shared folder, where they stay until its owner clears it.
     """
 
     def __init__(
@@ -72,17 +73,24 @@ class OrderedGroups:
         keys: Sequence[str],
         order: Sequence[str],
         max_rows: int | None = None,
+        at_most: int | None = None,
     ):
         self.keys, self.order = list(keys), list(order)
         self.max_rows = max_rows or MAX_ROWS_PER_TASK
-        counts = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
-        heavy = counts.filter(F.col("_n") > self.max_rows)
-        rows = heavy.agg(F.sum("_n").alias("n")).first()["n"]
+        if at_most is not None and at_most <= self.max_rows:
+            heavy = None
+        else:
+            heavy = self._heavy_keys(df)
+        rows = heavy.agg(F.sum("_n").alias("n")).first()["n"] if heavy is not None else None
         self.split = rows is not None
         self.df = self._with_chunks(df, heavy, -(-rows // self.max_rows)) if self.split else df
         self.partition = self.keys + ([CHUNK] if self.split else [])
         self.window = Window.partitionBy(*self.partition).orderBy(*self.order)
 
+    def _heavy_keys(self, df: DataFrame) -> DataFrame:
+        counts = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
+        return counts.filter(F.col("_n") > self.max_rows)
+
     # -- splitting ----------------------------------------------------------------
 
     def _order_struct(self) -> Column:
@@ -202,14 +210,15 @@ class OrderedGroups:
 
 
 def dense_ids(
-    df: DataFrame, order: Sequence[str], name: str, start: int = 0, max_rows: int | None = None
+    df: DataFrame, order: Sequence[str], name: str, start: int = 0, max_rows: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """``name`` = start + 1, start + 2, ... along ``order``, as a serial column counts.
 
     The whole table is one group here; beyond ``max_rows`` it is numbered chunk by chunk.
     """
     one = df.withColumn("_all", F.lit(0))
-    groups = OrderedGroups(one, ["_all"], order, max_rows)
+    groups = OrderedGroups(one, ["_all"], order, max_rows, at_most)
     numbered = groups.add(groups.df, **{name: groups.number()})
     numbered = numbered.withColumn(name, F.col(name) + F.lit(start))
     return groups.done(numbered).drop("_all")

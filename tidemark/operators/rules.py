@@ -206,25 +206,31 @@ def failures_long(df: DataFrame, keys: Sequence[str], rules: Sequence[Rule]) ->
     return df.select(*keys, F.inline(failure_list(rules)))
 
 
+def report_columns(rules: Sequence[Rule], failures: bool = True) -> dict[str, Column]:
+    """Counts, percentages and the list of failures of a record, by name."""
+    total = F.lit(len(rules))
+    passed = _count([r.passed for r in rules])
+    required = [r.passed for r in rules if r.name == "not_null"]
+    columns = {
+        "total_checks": total,
+        "passed": passed,
+        "failed_critical": _count([r.failed_as(CRITICAL) for r in rules]),
+        "failed_warning": _count([r.failed_as(WARNING) for r in rules]),
+        "completeness_pct": percent(_count(required), F.lit(len(required))),
+        "validity_pct": percent(passed, total),
+    }
+    return columns | ({"failures": failure_list(rules)} if failures else {})
+
+
 def quality_report(
     df: DataFrame, keys: Sequence[str], rules: Sequence[Rule], failures: bool = True
 ) -> DataFrame:
     """Per record: counts, percentages, status and the list of failures. No shuffle."""
-    total = F.lit(len(rules))
-    passed = _count([r.passed for r in rules])
-    critical = _count([r.failed_as(CRITICAL) for r in rules])
-    warning = _count([r.failed_as(WARNING) for r in rules])
-    required = [r.passed for r in rules if r.name == "not_null"]
-    report = df.select(
-        *keys,
-        total.alias("total_checks"),
-        passed.alias("passed"),
-        critical.alias("failed_critical"),
-        warning.alias("failed_warning"),
-        percent(_count(required), F.lit(len(required))).alias("completeness_pct"),
-        percent(passed, total).alias("validity_pct"),
-        *([failure_list(rules).alias("failures")] if failures else []),
-    )
+    columns = report_columns(rules, failures)
+    return with_status(df.select(*keys, *[c.alias(n) for n, c in columns.items()]))
+
+
+def with_status(report: DataFrame) -> DataFrame:
     return report.withColumn("status", record_status(F.col("failed_critical"), F.col("failed_warning")))
 
 

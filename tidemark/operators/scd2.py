@@ -62,13 +62,14 @@ def assign_versions(
     version_value: Column,
     name: str,
     max_rows: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Every record with ``version_value`` of the record that started its version.
 
     Adds also ``starts_version``. This is how facts learn the key of their version
     without a join back to the dimension.
     """
-    groups = OrderedGroups(records, entity, order, max_rows)
+    groups = OrderedGroups(records, entity, order, max_rows, at_most)
     marked = _changed(groups, groups.df, tracked)
     starting = F.when(F.col("_changed"), version_value)
     carried = groups.add(marked, **{name: groups.last_known(starting)})
@@ -84,12 +85,15 @@ def continue_versions(
     incoming_key: str,
     version_key: str,
     max_rows: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """New records with the key of their version, given the versions open so far.
 
     An open version stands first in its entity's sequence; a record that repeats
     its tracked values keeps ``version_key``, any other starts a version of its own,
     known by the record's ``incoming_key``. Only the entities of the batch are read.
+    ``at_most`` is a bound of the rows in ``incoming``, where the caller knows one; it saves
+    counting the rows of each entity.
     """
     names = incoming.select(*entity).distinct()
     touched = open_versions.join(names, list(entity), "left_semi")
@@ -99,7 +103,8 @@ def continue_versions(
     new = incoming.withColumn("_key", F.col(incoming_key)).withColumn("_new", F.lit(True))
     sequence = new.unionByName(base, allowMissingColumns=True)
     assigned = assign_versions(
-        sequence, entity, ["_new", *order], tracked, F.col("_key"), version_key, max_rows
+        sequence, entity, ["_new", *order], tracked, F.col("_key"), version_key, max_rows,
+        None if at_most is None else 2 * at_most,  # an open version per entity at most
     )
     return assigned.filter("_new").drop("_new", "_key")
 

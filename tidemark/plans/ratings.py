@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.canonical import content_hash
 from tidemark.functions.text import clean_str, month_number, round4
 from tidemark.operators import rules as R
+from tidemark.operators.latest import latest_per_key
 from tidemark.operators.lookup import lookup
 from tidemark.operators.reshape import numbered_columns_to_rows
 from tidemark.operators.scd2 import sorted_named_weights, sorted_names
@@ -86,11 +89,14 @@ def with_mtimes(records: DataFrame, mtimes: DataFrame) -> DataFrame:
     )
 
 
-def normalise(records: DataFrame) -> DataFrame:
-    """Raw records with file_modified_at to normalised, hash-keyed records."""
+def normalise(records: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Raw records with file_modified_at to normalised, hash-keyed records.
+
+    The columns named in ``also`` pass unchanged.
+    """
     # Cleaned in a projection of their own: the hash uses each field several times.
     fields = {n: c.alias(n) for n, c in content_fields().items()}
-    clean = records.select("source_filename", "file_modified_at", *fields.values())
+    clean = records.select("source_filename", "file_modified_at", *fields.values(), *also)
     return clean.select(
         "source_filename",
         "file_modified_at",
@@ -98,7 +104,27 @@ def normalise(records: DataFrame) -> DataFrame:
         month_number(F.col("business_year_end")).cast("short").alias("business_year_end_month"),
         content_hash(clean, list(fields)).alias("data_hash"),
         F.col("file_modified_at").alias("effective_date"),
+        *also,
+    )
+
+
+def unresolved(quarantined: DataFrame, reports: DataFrame) -> DataFrame:
+    """Of each file the latest quarantined record, unless the file has passed since.
+
+    Both tables have ``source_filename`` and ``visible_at``, the time from which a load shows.
+    """
+    latest = latest_per_key(quarantined, ["source_filename"], ["visible_at", "rated_entity"])
+    passed = reports.filter("failed_critical = 0").groupBy("source_filename").agg(
+        F.max("visible_at").alias("_passed_at")
     )
+    joined = latest.join(passed, "source_filename", "left")
+    open_still = F.col("_passed_at").isNull() | (F.col("_passed_at") <= F.col("visible_at"))
+    return joined.filter(open_still).drop("_passed_at", "visible_at")
+
+
+def with_hash_prefix(rows: DataFrame) -> DataFrame:
+    """Adds the first two digits of the content hash, by which its history is stored."""
+    return rows.withColumn("hash_prefix", F.left("data_hash", F.lit(2)))
 
 
 def with_dimension_columns(records: DataFrame) -> DataFrame:

@@ -1,4 +1,9 @@
-"""Extracted sheets as CSV: the sheet row index first, then the cells, no header."""
+"""Extracted sheets as CSV: the sheet row index first, then the cells, no header.
+
+Files written here hold one sheet row per line: line breaks and backslashes inside a cell are
+written as \\n, \\r and \\\\, so that a long file can be read in pieces. Files of other writers
+may hold quoted cells of several lines.
+"""
 
 from __future__ import annotations
 
@@ -18,12 +23,38 @@ def _schema(width: int) -> T.StructType:
     return T.StructType(index + [T.StructField(f"col_{i}", T.StringType()) for i in range(width)])
 
 
-def _cells(width: int) -> Column:
-    """CSV keeps no cell types: text that reads as a number is a number."""
+# Quotes inside a quoted cell are doubled, as other writers do; spaces around a cell stay.
+_FORMAT = {
+    "escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
+def _on_one_line(text: Column) -> Column:
+    for plain, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text
+
+
+def _as_it_was(text: Column) -> Column:
+    """The inverse of :func:`_on_one_line`: cut at double backslashes, which stand for one."""
+    pieces = F.transform(
+        F.split(text, r"\\\\", -1),
+        lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")),
+    )
+    return F.array_join(pieces, "\\")
+
+
+def _cells(width: int, own: bool) -> Column:
+    """CSV keeps no cell types: text that reads as a number is a number.
+
+    Cells of files written here keep their text as it was; the text of other files' cells is
+    stripped.
+    """
 
     def cell(name: str) -> Column:
         kind = F.when(F.col(name).rlike(_NUMBER), "n").otherwise("s").alias("kind")
-        return F.when(F.col(name).isNotNull(), F.struct(kind, strip(F.col(name)).alias("text")))
+        text = _as_it_was(F.col(name)) if own else strip(F.col(name))
+        return F.when(F.col(name).isNotNull(), F.struct(kind, text.alias("text")))
 
     return F.array(*[cell(f"col_{i}") for i in range(width)]).alias("cells")
 
@@ -36,21 +67,33 @@ def _enough(widest: int | None, width: int | None) -> int:
     return width if width is not None else max(widest, SHEET_WIDTH)
 
 
-def _width_of_files(spark: SparkSession, path: str) -> int:
+def _width_of_lines(spark: SparkSession, path: str) -> int:
     """At least the cells of the widest row: a comma may also stand inside a cell."""
     fields = F.size(F.split("value", ",")) - 1
     lines = spark.read.option("recursiveFileLookup", True).text(path)
     return _enough(lines.agg(F.max(fields).alias("n")).first()["n"], None)
 
 
+def _width_of_records(spark: SparkSession, path: str) -> int:
+    """The cells of the widest row where a quoted cell may have several lines.
+
+    Without its quoted parts a file has one row per line. A file is taken whole, as the CSV
+    reader must take it too when rows may have several lines.
+    """
+    files = spark.read.option("recursiveFileLookup", True).option("wholetext", True).text(path)
+    lines = F.split(F.regexp_replace("value", '"[^"]*"', ""), "\r\n|\n|\r")
+    commas = F.array_max(F.transform(lines, lambda line: F.length(line) - F.length(F.replace(line, F.lit(",")))))
+    return _enough(files.agg(F.max(commas).alias("n")).first()["n"], None)
+
+
 def read_sheet_csv(
     spark: SparkSession, path: str, width: int | None = None, suffix: str = "_master"
 ) -> DataFrame:
-    """Sheet rows from files ``<name><suffix>.csv``, as wide as the widest row."""
-    width = width or _width_of_files(spark, path)
+    """Sheet rows from files ``<name><suffix>.csv`` of any writer, as wide as the widest row."""
+    width = width or _width_of_records(spark, path)
     stem = file_stem(F.col("_metadata.file_path"))
-    return spark.read.schema(_schema(width)).csv(path).select(
-        F.regexp_replace(stem, f"{suffix}$", "").alias("source_filename"), "row_idx", _cells(width)
+    return spark.read.schema(_schema(width)).options(multiLine=True, **_FORMAT).csv(path).select(
+        F.regexp_replace(stem, f"{suffix}$", "").alias("source_filename"), "row_idx", _cells(width, False)
     )
 
 
@@ -61,7 +104,8 @@ def write_sheet_csv(sheet_rows: DataFrame, path: str, width: int | None = None)
     """
     width = _enough(sheet_rows.agg(F.max(F.size("cells")).alias("n")).first()["n"], width)
     columns = [
-        F.try_element_at("cells", F.lit(i + 1))["text"].alias(f"col_{i}") for i in range(width)
+        _on_one_line(F.try_element_at("cells", F.lit(i + 1))["text"]).alias(f"col_{i}")
+        for i in range(width)
     ]
     stem = F.concat(file_stem(F.col("source_filename")), F.lit("_master"))
     (
@@ -70,14 +114,14 @@ def write_sheet_csv(sheet_rows: DataFrame, path: str, width: int | None = None)
         .repartitionByRange("stem", "row_idx")
         .sortWithinPartitions("stem", "row_idx")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("stem").csv(path, header=False)
+        .partitionBy("stem").options(**_FORMAT).csv(path, header=False)
     )
 
 
 def reload_sheet_csv(spark: SparkSession, path: str, width: int | None = None) -> DataFrame:
     """Sheet rows from a folder written by :func:`write_sheet_csv`."""
-    width = width or _width_of_files(spark, path)
+    width = width or _width_of_lines(spark, path)
     schema = _schema(width).add("stem", T.StringType())
-    return spark.read.schema(schema).csv(path, header=False).select(
-        F.regexp_replace("stem", "_master$", "").alias("source_filename"), "row_idx", _cells(width)
+    return spark.read.schema(schema).options(**_FORMAT).csv(path, header=False).select(
+        F.regexp_replace("stem", "_master$", "").alias("source_filename"), "row_idx", _cells(width, True)
     )

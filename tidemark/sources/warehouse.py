@@ -2,21 +2,24 @@
 
 A load writes its rows under its own ``load_id`` and becomes visible with the
 run event that reports success, for all tables at once. Rows of a failed load
-stay invisible. Closed dimension versions are appended; the open ones, one row
-per entity, are written anew by each load.
+stay invisible. A load writes the dimension versions it has closed and those of the
+buckets it has touched that are open after it; the other buckets' open versions stay
+where earlier loads have put them (``sources/buckets.py``).
 """
 
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.latest import latest_per_key
-from tidemark.schemas import SHEET_ROW, TABLES
+from tidemark.schemas import RAW_RECORD, SHEET_ROW, TABLES
+from tidemark.sources.buckets import BucketedTable
 
 _LISTS = [
     T.StructField("risks", T.ArrayType(
@@ -29,17 +32,41 @@ _LISTS = [
 
 _EVENT = T.StructType(
     [*TABLES["pipeline_run_state"].fields, T.StructField("load_id", T.StringType()),
-     T.StructField("event_at", T.TimestampType())]
+     T.StructField("event_at", T.TimestampType()), T.StructField("last_upload_id", T.LongType()),
+     T.StructField("versions_in", T.StringType())]
 )
 
-# Stored folders. dim_company is the union of two of them.
+VERSION = T.StructType(TABLES["dim_company"].fields + _LISTS)
+
+# Stored folders. dim_company is made of the versions closed by any load and the open ones.
 _STORED: dict[str, T.StructType] = {
     **{n: s for n, s in TABLES.items() if n not in ("dim_company", "pipeline_run_state")},
-    "dim_company_closed": T.StructType(TABLES["dim_company"].fields + _LISTS),
-    "dim_company_current": T.StructType(TABLES["dim_company"].fields + _LISTS),
+    "dim_company_versions": VERSION,
+    "known_hashes": T.StructType(
+        [T.StructField("data_hash", T.StringType()), T.StructField("hash_prefix", T.StringType())]
+    ),
+    "quality_report": T.StructType(
+        [T.StructField(n, T.StringType()) for n in ("source_filename", "rated_entity")]
+        + [T.StructField(n, T.IntegerType())
+           for n in ("total_checks", "passed", "failed_critical", "failed_warning")]
+        + [T.StructField(n, T.StringType()) for n in ("status",)]
+    ),
+    "quarantine": T.StructType(
+        RAW_RECORD.fields
+        + [T.StructField("file_modified_at", T.TimestampType()),
+           T.StructField("reasons", T.ArrayType(T.StringType())),
+           T.StructField("dag_run_id", T.StringType())]
+    ),
     "sheet_rows": SHEET_ROW,
 }
 
+# Columns by which the rows of a load are laid out in folders, and those that bring the rows
+# of one folder into one task before they are written.
+_PARTITIONED = {
+    "dim_company_versions": (["is_current", "bucket"], ["bucket"]),
+    "known_hashes": (["hash_prefix"], ["hash_prefix"]),
+}
+
 
 def rows(spark: SparkSession, schema: T.StructType, count: int, values: dict | None = None) -> DataFrame:
     """``count`` rows of constants, typed by ``schema``; needs no Python worker."""
@@ -56,15 +83,26 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def create(self) -> None:
-        """Create the folders that are absent."""
-        for name, schema in sorted({**_STORED, "run_events": _EVENT}.items()):
-            rows(self.spark, schema, 0).write.mode("ignore").parquet(self.path(name))
+        """Create the folders that are absent: the log of runs, and what reads need."""
+        stored = sorted({**_STORED, "run_events": _EVENT}.items())
+        with ThreadPoolExecutor(len(stored)) as pool:
+            done = [pool.submit(self._create, name, schema) for name, schema in stored]
+            for job in done:
+                job.result()
+
+    def _create(self, name: str, schema: T.StructType) -> None:
+        rows(self.spark, schema, 0).write.mode("ignore").parquet(self.path(name))
 
     # -- writing ------------------------------------------------------------------
 
     def write(self, name: str, df: DataFrame, load_id: str) -> None:
         """Write the rows of one load. A retry of the same load replaces its own rows."""
-        df.write.mode("overwrite").parquet(f"{self.path(name)}/load_id={load_id}")
+        path = f"{self.path(name)}/load_id={load_id}"
+        if name in _PARTITIONED:
+            folders, together = _PARTITIONED[name]
+            df.repartition(*together).write.mode("overwrite").partitionBy(*folders).parquet(path)
+        else:
+            df.write.mode("overwrite").parquet(path)
 
     def written(self, name: str, load_id: str, schema: T.StructType | None = None) -> DataFrame:
         """Rows of one load, visible or not."""
@@ -83,12 +121,15 @@ class Warehouse:
         """Record a run as running; a second start of the same run resets its row."""
         now = datetime.now(timezone.utc)
         known = F.max(F.when(F.col("dag_run_id") == dag_run_id, F.col("run_id")))
-        ids = self.events().agg(known.alias("same"), F.max("run_id").alias("top")).first()
+        ids = self.events().agg(
+            known.alias("same"), F.max("run_id").alias("top"), *_last_state()
+        ).first()
         run = {
             "run_id": ids["same"] or (ids["top"] or 0) + 1,
             "dag_run_id": dag_run_id, "started_at_utc": now, "status": "running",
             "files_staged": 0, "files_loaded": 0, "files_skipped": 0,
             "load_id": f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}", "event_at": now,
+            "last_upload_id": ids["last_upload_id"] or 0, "versions_in": ids["versions_in"],
         }
         self._event(run)
         return run
@@ -123,20 +164,40 @@ class Warehouse:
             return self.run_state()
         if name == "dim_company":
             return self.versions().select(*TABLES[name].names)
+        return self._stored(name).join(self._visible(), "load_id", "left_semi").select(*_STORED[name].names)
+
+    def read_dated(self, name: str) -> DataFrame:
+        """A table with ``visible_at``, the time from which each row's load shows."""
+        shown = self.events().filter("status = 'success'").groupBy("load_id").agg(
+            F.max("event_at").alias("visible_at")
+        )
+        return self._stored(name).join(shown, "load_id").select(*_STORED[name].names, "visible_at")
+
+    def _stored(self, name: str) -> DataFrame:
         schema = T.StructType(_STORED[name].fields + [T.StructField("load_id", T.StringType())])
-        stored = self.spark.read.schema(schema).parquet(self.path(name))
-        return stored.join(self._visible(), "load_id", "left_semi").drop("load_id")
+        return self.spark.read.schema(schema).parquet(self.path(name))
+
+    def open_versions(self, state: str | None) -> BucketedTable:
+        """The open versions as the load ``state`` left them, by bucket of the entity."""
+        return BucketedTable(
+            self.spark, self.path("dim_company_versions"), VERSION, ["entity_name"], state,
+            inside="is_current=true/",
+        )
 
     def current_versions(self) -> DataFrame:
         """Open versions as the last successful load left them."""
-        done = self.events().filter("status = 'success'").agg(F.max_by("load_id", "event_at"))
-        load_id = done.first()[0]
-        if load_id is None:
-            return rows(self.spark, _STORED["dim_company_current"], 0)
-        return self.written("dim_company_current", load_id)
+        state = self.events().agg(*_last_state()).first()["versions_in"]
+        return self.open_versions(state).read().withColumn("is_current", F.lit(True))
 
     def versions(self) -> DataFrame:
-        return self.read("dim_company_closed").unionByName(self.current_versions())
+        closed = self.read("dim_company_versions").filter(~F.col("is_current"))
+        return closed.unionByName(self.current_versions())
+
+
+def _last_state() -> list[Column]:
+    """What the last successful load left: the ids given so far, the list of open versions."""
+    success = F.when(F.col("status") == "success", F.col("event_at"))
+    return [F.max_by(c, success).alias(c) for c in ("last_upload_id", "versions_in")]
 
 
 def run_state(events: DataFrame) -> DataFrame:

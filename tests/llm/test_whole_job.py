@@ -75,3 +75,15 @@ def test_piece_query_returns_the_sampled_pieces(spark, tmp_path):
         ids = np.array(r.pieces, dtype="<i4")
         assert r.n_pieces == len(ids) and r.pieces_crc32 == zlib.crc32(ids.tobytes())
         assert model.decode(ids.astype(np.int64), np.array([len(ids)])) == [texts[r.doc_id].encode()]
+
+
+def test_wide_ids_are_no_silent_loss():
+    import pytest
+
+    from tidemark.llm.token_coder import decode_ids, encode_ids
+
+    ids = np.array([0, 65535, 7])
+    assert decode_ids(*encode_ids(ids))[0].tolist() == ids.tolist()
+    for wrong in (65536, 70000, -1):
+        with pytest.raises(ValueError):
+            encode_ids(np.array([1, wrong]))

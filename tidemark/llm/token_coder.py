@@ -175,7 +175,9 @@ def run_model(coder: Encoder | Decoder, sizes: np.ndarray, ids: np.ndarray | Non
 
 
 def encode_ids(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> tuple[list[bytes], list[int]]:
-    """Blocks of coded ids (each under 65536) and the number of ids in each."""
+    """Blocks of coded ids (each under 65536, else an error) and the number of ids in each."""
+    if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < 1 << 16:
+        raise ValueError(f"ids from {ids.min()} to {ids.max()} do not fit into 16 bits")
     lanes = -(-len(ids) // block_ids)
     sizes = np.full(lanes, block_ids, dtype=np.int64)
     if lanes:

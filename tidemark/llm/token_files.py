@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.stash import total_bytes
 from tidemark.llm.token_coder import decode_ids, encode_ids
-from tidemark.llm.words import mixed
+from tidemark.llm.words import mixed, small_batches
 
 PART_BYTES = 16 << 20
 FLUSH_IDS = 1 << 22
@@ -148,7 +148,7 @@ def write_tokens(
 
     Documents are in ascending order of key, then text; null keys come first, null and empty
     texts are the end id alone. Rows that share a key are documents of their own. Further
-    columns are ignored; an empty table gives no files. Ids must be under 65536.
+    columns are ignored; an empty table gives no files. Ids over 65535 raise an error.
     """
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("_text"))
@@ -173,7 +173,7 @@ def write_tokens(
             yield pa.RecordBatch.from_arrays(columns, fields)
 
         key_type, order = pa.int64(), 0
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             key_type = batch.column(0).type
             texts = batch.column(1).to_pylist()
             ids, counts = encode(texts)

@@ -87,3 +87,44 @@ def test_wide_ids_are_no_silent_loss():
     for wrong in (65536, 70000, -1):
         with pytest.raises(ValueError):
             encode_ids(np.array([1, wrong]))
+
+
+def test_near_misses_in_a_bucket_come_to_few_links(spark, monkeypatch):
+    """300 texts that share buckets but, most of them, no link: brute force, and rows in proportion."""
+    from tidemark.llm import near_dedup
+
+    random = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for i in range(300):
+        words = list(base)
+        for at in random.choice(200, 5, replace=False):
+            words[at] = f"x{i}_{at}"
+        texts.append(" ".join(words))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(196)} for t in texts]
+    group = list(range(300))
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(300):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if 100 * shared >= 75 * (len(sets[i]) + len(sets[j]) - shared):
+                a, b = find(i), find(j)
+                group[max(a, b)] = min(a, b)
+    links = []
+    within = near_dedup._within_buckets
+
+    def counted(*args):
+        found = within(*args)
+        links.append(found.count())
+        return found
+
+    monkeypatch.setattr(near_dedup, "_within_buckets", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert found == {i: find(i) for i in range(300)}
+    assert links[0] <= 300 * near_dedup.BANDS

@@ -175,41 +175,90 @@ def _labelled(members: DataFrame, column: str, labels: DataFrame, name: str) ->
     )
 
 
-def _within_buckets(members: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
-    """Surviving pairs of different small components within each bucket (band, rep, comp).
+def _block_pairs(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a block's rows, of different components, that survive the sequential test.
 
-    A bucket is cut into blocks of about ``BLOCK`` rows and each two blocks meet in one task.
     A pair is looked at in the first band that it shares.
     """
+    sig, own = _matrix(table.column("sig")), table.column("own").to_numpy()
+    x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
+    comp = np.unique(np.array(table.column("comp").to_pylist()), return_inverse=True)[1]
+    band = table.column("band_no")[0].as_py()
+    left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
+    for at in range(0, len(left), 64):
+        i, j = (g.ravel() for g in np.meshgrid(left[at : at + 64], right, indexing="ij"))
+        use = (comp[i] != comp[j]) & ((i < j) | (x != y))
+        i, j = i[use], j[use]
+        alive = likely(sig[i], sig[j], percent)
+        i, j = i[alive], j[alive]
+        earlier = (sig[i, : BAND_ROWS * band] == sig[j, : BAND_ROWS * band]).reshape(len(i), band, BAND_ROWS)
+        fresh = ~earlier.all(axis=2).any(axis=1)
+        if fresh.any():
+            yield i[fresh], j[fresh]
+
+
+def spanning_links(nodes: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each node that the links (a, b) join to a smaller one, that node and the smallest."""
+    label = np.arange(nodes)
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    moved = np.flatnonzero(label != np.arange(nodes))
+    return moved, label[moved]
+
+
+def _within_buckets(
+    members: DataFrame, sigs: DataFrame, docs: DataFrame, key: str, text: str, percent: int, stash: Stash
+) -> DataFrame:
+    """Links (a, b) that join the different small components within each bucket (band, rep, comp).
+
+    A bucket is cut into blocks of about ``BLOCK`` rows and each two blocks meet in one task.
+    There signatures name the rows that a surviving pair needs; their full sets come to the
+    block once per row, all surviving pairs are counted on them in the task, and the rows
+    that are linked return with one link each. So no pair crosses a shuffle, however many
+    survive.
+    """
     kind = members.schema["rep"].dataType.simpleString()
     parts = members.groupBy("band").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("parts"))
     placed = members.join(parts, "band").join(sigs, "rep")
     own = F.pmod(F.xxhash64("rep"), F.col("parts"))
     placed = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     placed = placed.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
+    names = ["band", "band_no", "x", "y", "own", "rep", "comp", "sig"]
+    types = f"band long, band_no int, x long, y long, own long, rep {kind}, comp {kind}, sig binary"
 
-    def run(table: pa.Table) -> pa.Table:
-        sig, own = _matrix(table.column("sig")), table.column("own").to_numpy()
-        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
-        comp = np.unique(np.array(table.column("comp").to_pylist()), return_inverse=True)[1]
-        band = table.column("band_no")[0].as_py()
-        left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
-        a, b = [left[:0]], [left[:0]]
-        for at in range(0, len(left), 64):
-            i, j = (g.ravel() for g in np.meshgrid(left[at : at + 64], right, indexing="ij"))
-            use = (comp[i] != comp[j]) & ((i < j) | (x != y))
-            i, j = i[use], j[use]
-            alive = likely(sig[i], sig[j], percent)
-            i, j = i[alive], j[alive]
-            earlier = (sig[i, : BAND_ROWS * band] == sig[j, : BAND_ROWS * band]).reshape(len(i), band, BAND_ROWS)
-            fresh = ~earlier.all(axis=2).any(axis=1)
-            a.append(i[fresh])
-            b.append(j[fresh])
+    def needed(table: pa.Table) -> pa.Table:
+        rows = [np.concatenate(pair) for pair in _block_pairs(table, percent)]
+        return table.select(names).take(pa.array(np.unique(np.concatenate([np.zeros(0, np.int64), *rows]))))
+
+    def linked(table: pa.Table) -> pa.Table:
+        members = [_set(v) for v in table.column("members")]
+        sizes = np.array([len(m) for m in members])
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, j in _block_pairs(table, percent):
+            left, right = np.unique(i), np.unique(j)
+            shared = shared_counts([members[k] for k in left], [members[k] for k in right])
+            shared = shared[np.searchsorted(left, i), np.searchsorted(right, j)]
+            good = 100 * shared >= percent * (sizes[i] + sizes[j] - shared)
+            a.append(i[good])
+            b.append(j[good])
+        moved, least = spanning_links(table.num_rows, np.concatenate(a), np.concatenate(b))
         rep = table.column("rep")
-        return pa.table({"a": rep.take(pa.array(np.concatenate(a))), "b": rep.take(pa.array(np.concatenate(b)))})
+        return pa.table({"a": rep.take(pa.array(moved)), "b": rep.take(pa.array(least))})
 
-    placed = placed.select("band", "band_no", "x", "y", "own", "rep", "comp", "sig")
-    return placed.groupBy("band", "x", "y").applyInArrow(run, f"a {kind}, b {kind}")
+    place = ["band", "x", "y"]
+    rows = stash.put(placed.select(names).groupBy(*place).applyInArrow(needed, types), "compared")
+    sets = _sets(docs, key, text, rows.select(F.col("rep").alias("id")), stash).withColumnRenamed("id", "rep")
+    links = rows.join(sets, "rep").groupBy(*place).applyInArrow(linked, f"a {kind}, b {kind}")
+    links = stash.put(links, "within")
+    stash.drop(sets)
+    return links
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
@@ -346,7 +395,7 @@ def near_duplicates(
     large = members.groupBy("comp").agg(F.count_distinct("rep").alias("n")).filter(F.col("n") > large_group)
     large = stash.put(large, "large")
     small = members.join(large, "comp", "left_anti")
-    last = _confirmed(_within_buckets(small, candidates, percent), docs, key, text, percent, stash)
+    last = _within_buckets(small, candidates, docs, key, text, percent, stash)
     links = links.union(last).union(_visits(members, large, candidates, docs, key, text, percent, stash))
     labels = components(links, stash)
 

@@ -67,7 +67,8 @@ class Constraints:
     foreign_keys: Sequence[tuple[str, str, str]] = ()
 
 
-def _row_checks(name: str, df: DataFrame, c: Constraints) -> list[DataFrame]:
+def row_checks(name: str, df: DataFrame, c: Constraints) -> list[DataFrame]:
+    """What single rows violate, counted in one pass: one row per constraint, or no table."""
     conditions = {f"NOT NULL {col}": F.col(col).isNull() for col in c.not_null}
     conditions |= {f"CHECK {label}": ~check for label, check in c.checks.items()}
     if not conditions:
@@ -93,7 +94,7 @@ def constraint_audit(
     parts: list[DataFrame] = []
     for name, c in constraints.items():
         df = tables[name]
-        parts += _row_checks(name, df, c)
+        parts += row_checks(name, df, c)
         for key in c.unique:
             surplus = duplicate_keys(df.dropna("any", subset=list(key)), key).agg(
                 F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations")

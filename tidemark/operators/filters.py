@@ -39,6 +39,15 @@ def contains(column: str, text: str | None) -> Column | None:
     return None if text is None else contains_ignoring_case(F.col(column), text)
 
 
+def collated(column: Column | str, collation: str = "UNICODE_CI") -> Column:
+    """A text that groups and sorts by a collation instead of by bytes.
+
+    PostgreSQL and others sort by a locale: "debt" before "EBITDA", where bytes say the
+    opposite. The result goes into ``ascending``, ``groupBy`` or a join like any column.
+    """
+    return F.collate(F.col(column) if isinstance(column, str) else column, collation)
+
+
 def ascending(*columns: str) -> list[Column]:
     """Nulls last, as the source database sorts."""
     return [F.col(c).asc_nulls_last() for c in columns]

@@ -62,8 +62,8 @@ class OrderedGroups:
     removing rows; as long as no shuffle comes between, repeated calls share one
     exchange and one sort.
 
-    Making the object counts the rows per key, unless ``at_most``, a number of rows that
-    ``df`` is known not to exceed, rules heavy keys out. Only with heavy keys are rows
+    Making the object counts the rows per key, unless ``at_most``, a number of rows that no
+    key is known to exceed, rules heavy keys out. Only with heavy keys are rows
     written, into the session's shared folder, where they stay until its owner clears it.
     """
 

@@ -95,8 +95,7 @@ def continue_versions(
     ``at_most`` is a bound of the rows in ``incoming``, where the caller knows one; it saves
     counting the rows of each entity.
     """
-    names = incoming.select(*entity).distinct()
-    touched = open_versions.join(names, list(entity), "left_semi")
+    touched = open_versions.join(incoming.select(*entity), list(entity), "left_semi")
     base = touched.select(
         *entity, *tracked, F.col(version_key).alias("_key"), F.lit(False).alias("_new")
     )
@@ -104,7 +103,7 @@ def continue_versions(
     sequence = new.unionByName(base, allowMissingColumns=True)
     assigned = assign_versions(
         sequence, entity, ["_new", *order], tracked, F.col("_key"), version_key, max_rows,
-        None if at_most is None else 2 * at_most,  # an open version per entity at most
+        None if at_most is None else at_most + 1,  # and the open version of the entity
     )
     return assigned.filter("_new").drop("_new", "_key")
 

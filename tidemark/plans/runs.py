@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import rules as R
@@ -236,32 +236,29 @@ def _star_rows(
         "fact_scope_credit_hist": ratings.metric_rows(accepted),
         "dim_company_industry_risk": ratings.risk_rows(accepted),
         "dim_company_rating_methodology": ratings.methodology_rows(accepted),
-        "dim_company_versions": next_versions(open_versions, accepted, loaded).withColumn(
-            "bucket", versions.bucket()
-        ),
+        "dim_company_versions": next_versions(open_versions, accepted, versions.bucket(), loaded),
     }
 
 
-def next_versions(open_versions: DataFrame, accepted: DataFrame, at_most: int | None = None) -> DataFrame:
+def next_versions(
+    open_versions: DataFrame, accepted: DataFrame, bucket: Column, at_most: int | None = None
+) -> DataFrame:
     """The versions closed by this load and those open after it, of the given open versions.
 
-    ``at_most`` is a bound of the rows in ``accepted``, where the caller knows one. Versions
-    of entities that start no new one pass unchanged.
+    ``at_most`` is a bound of the rows in ``accepted``, where the caller knows one. The rows
+    meet by bucket once, for the window and for the write alike; an entity without a new
+    version keeps the one it has.
     """
     columns = [f.name for f in VERSION.fields]
-    started = ratings.version_rows(accepted)
-    entities = started.select("entity_name").distinct()
-    replaced = open_versions.join(entities, "entity_name", "left_semi")
-    untouched = open_versions.join(entities, "entity_name", "left_anti")
-    both = replaced.drop("valid_to", "is_current").unionByName(started)
+    both = open_versions.drop("valid_to", "is_current").unionByName(ratings.version_rows(accepted))
+    placed = both.withColumn("bucket", bucket).repartition("bucket")
     groups = OrderedGroups(
-        both, ["entity_name"], ["valid_from"], at_most=None if at_most is None else 2 * at_most
+        placed, ["bucket", "entity_name"], ["valid_from"], at_most=None if at_most is None else at_most + 1
     )
     bounded = groups.done(groups.add(groups.df, _next=groups.lead(F.col("valid_from"))))
-    rows = bounded.withColumns(
+    return bounded.withColumns(
         {"valid_to": F.col("_next.v"), "is_current": F.col("_next").isNull()}
-    ).select(*columns)
-    return rows.unionByName(untouched.withColumn("is_current", F.lit(True)).select(*columns))
+    ).select(*columns, "bucket")
 
 
 def replay(

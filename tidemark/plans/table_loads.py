@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from tidemark.operators.dedup import new_content
 from tidemark.operators.sketches import distinct_sketches, merged_counts, relative_error
 from tidemark.plans import reads
+from tidemark.plans.audit_state import AuditState
 from tidemark.plans.latest_state import LatestState
 from tidemark.plans.ratings import normalise, with_hash_prefix
 from tidemark.plans.runs import QUARANTINE, load_records, replay, reported_run, still_quarantined
-from tidemark.plans.table_queries import Tables, query
+from tidemark.plans.table_queries import SQL, Tables, query, star_constraints
 from tidemark.schemas import RAW_RECORD
 from tidemark.session import shared_dir
+from tidemark.sources.sheet_csv import reload_sheet_csv, write_sheet_csv
 from tidemark.sources.warehouse import Warehouse
 from tidemark.streaming.ingest import distinct_stream, stream_table
 
@@ -118,6 +120,61 @@ def new_by_hash_prefix(t: Tables) -> DataFrame:
     return rows.select("doc_id", "data_hash")
 
 
+@query(SQL["constraint_audit"])
+def audit_kept_by_loads(t: Tables) -> DataFrame:
+    """The constraint audit from three loads that read their own rows and stored keys only.
+
+    Line items come before some of their orders, and documents before their labels, so
+    foreign keys are broken for a while.
+    """
+    state = AuditState(t.spark, shared_dir(t.spark, "audit-state"), star_constraints(), digits=1)
+    old = F.col("o_orderstatus") == "F"
+    state.load({"customer": t.customer, "orders": t.orders.filter(old)}, "old")
+    state.load({"lineitem": t.lineitem, "documents": t.documents}, "details")
+    state.load({"orders": t.orders.filter(~old), "labels": t.labels}, "new")
+    return state.violations()
+
+
+@query("""
+    SELECT 'customer_' || c_custkey AS source_filename, row_idx, texts
+    FROM customer, LATERAL (VALUES
+        (0, '|Rated entity|' || c_name || repeat('|', 15)),
+        (1, '|note|first line' || chr(10) || c_name || '|say "' || c_mktsegment || '"|a,b| \\n \\|' || chr(13) || chr(10)
+            || repeat('|', 11)),
+        (2, repeat('|', 17) || 'far right ' || c_custkey), (3, repeat('|', 17))) rows(row_idx, texts)
+""")
+def sheet_csv_round_trip(t: Tables) -> DataFrame:
+    """Sheets with line breaks, quotes, an all-empty and a wide row, written twice and read back."""
+
+    def cells(*texts: Column | None) -> Column:
+        padded = [*texts, *[None] * (18 - len(texts))]
+        blank = F.lit(None).cast("struct<kind:string,text:string>")
+        boxed = [
+            blank if c is None else F.struct(F.lit("s").alias("kind"), c.alias("text")) for c in padded
+        ]
+        return F.array(*boxed).alias("cells")
+
+    def line(row: int, *texts: Column | None) -> Column:
+        return F.struct(F.lit(row).alias("row_idx"), cells(*texts))
+
+    name, segment, key = F.col("c_name"), F.col("c_mktsegment"), F.col("c_custkey").cast("string")
+    lines = F.array(
+        line(0, None, F.lit("Rated entity"), name),
+        line(1, None, F.lit("note"), F.concat(F.lit("first line\n"), name),
+             F.concat(F.lit('say "'), segment, F.lit('"')), F.lit("a,b"), F.lit(" \\n \\"), F.lit("\r\n")),
+        line(2, *[None] * 17, F.concat(F.lit("far right "), key)),
+        line(3),
+    )
+    file = F.concat(F.lit("customer_"), key, F.lit(".xlsm"))
+    sheets = t.customer.select(file.alias("source_filename"), F.inline(lines))
+    place = shared_dir(t.spark, "sheet-csv")
+    for _ in range(2):
+        write_sheet_csv(sheets, place, width=18)
+    found = reload_sheet_csv(t.spark, place, width=18)
+    texts = F.transform("cells", lambda c: F.coalesce(c["text"], F.lit("")))
+    return found.select("source_filename", "row_idx", F.array_join(texts, "|").alias("texts"))
+
+
 # --- a whole load ---------------------------------------------------------------------------
 
 

@@ -157,6 +157,23 @@ def quality_report(t: Tables) -> DataFrame:
     return R.quality_report(part_records(t), ["p_partkey"], part_rules(), failures=False)
 
 
+@query(_RECORDS_SQL + """
+    SELECT p_partkey, coalesce(failures, '') AS failures FROM report LEFT JOIN (
+        SELECT p_partkey, string_agg(line, '; ' ORDER BY line) AS failures
+        FROM (SELECT p_partkey, concat(severity, ' ', field, ' ', rule, ': ', text) AS line
+              FROM checks WHERE NOT passed)
+        GROUP BY p_partkey) USING (p_partkey)
+""")
+def report_failures(t: Tables) -> DataFrame:
+    """The list of failures that each report carries, as one text."""
+    report = R.quality_report(part_records(t), ["p_partkey"], part_rules())
+    lines = F.transform(
+        "failures",
+        lambda f: F.concat(f["severity"], F.lit(" "), f["field"], F.lit(" "), f["rule"], F.lit(": "), f["message"]),
+    )
+    return report.select("p_partkey", F.array_join(F.array_sort(lines), "; ").alias("failures"))
+
+
 @query(_RECORDS_SQL + """
     SELECT count(*) AS files, CAST(sum(failed_critical) AS BIGINT) AS critical,
            CAST(sum(failed_warning) AS BIGINT) AS warnings, CAST(sum(total_checks) AS BIGINT) AS checks,

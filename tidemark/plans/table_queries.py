@@ -288,6 +288,41 @@ def sorted_name_list(t: Tables) -> DataFrame:
     return lists.select("p_brand", F.array_join("types", ",").alias("types"))
 
 
+@query("""
+    SELECT p_brand, page, count(*) AS n, string_agg(p_name, ',' ORDER BY p_name) AS names
+    FROM (SELECT p_brand, p_name,
+                 (row_number() OVER (PARTITION BY p_brand ORDER BY p_name) - 1) // 4 AS page
+          FROM (SELECT DISTINCT p_brand, p_name FROM part))
+    GROUP BY p_brand, page
+""")
+def sorted_names_in_pages(t: Tables) -> DataFrame:
+    """The sorted list of a brand's names, four to a row: no list grows with its group."""
+    pairs = t.part.select("p_brand", "p_name").distinct()
+    brands = t.part.select("p_brand").distinct()
+    nested = reshape.nest_children(
+        brands, pairs, "p_brand", ["p_name"], ["p_name"], "names", page_rows=4
+    )
+    return nested.select(
+        "p_brand", F.col("page").cast("long").alias("page"), F.size("names").cast("long").alias("n"),
+        F.array_join(F.transform("names", lambda c: c["p_name"]), ",").alias("names"),
+    )
+
+
+@query("""
+    SELECT name, count(DISTINCT spelling) AS spellings, dense_rank() OVER (ORDER BY name) AS place
+    FROM (SELECT lower(p_name) AS name, CASE WHEN p_size % 2 = 0 THEN upper(p_name) ELSE p_name END AS spelling
+          FROM part) GROUP BY name
+""")
+def names_in_collation(t: Tables) -> DataFrame:
+    """Names grouped and numbered by a case-insensitive collation, as a database may sort."""
+    spelling = F.when(F.col("p_size") % 2 == 0, F.upper("p_name")).otherwise(F.col("p_name"))
+    rows = t.part.select(spelling.alias("spelling"), flt.collated(spelling).alias("key"))
+    groups = rows.groupBy("key").agg(
+        F.count_distinct("spelling").alias("spellings"), F.lower(F.min("spelling")).alias("name")
+    )
+    return dense_ids(groups, ["key"], "place").select("name", "spellings", "place")
+
+
 # --- type-2 history ---------------------------------------------------------------------
 
 _VERSIONS_SQL = """
@@ -826,8 +861,15 @@ def serial_ids(t: Tables) -> DataFrame:
     UNION ALL SELECT 'documents', 'UNIQUE text', count(*) - count(DISTINCT text) FROM documents
 """)
 def constraint_audit(t: Tables) -> DataFrame:
-    names = ["orders", "lineitem", "customer", "documents", "labels"]
-    constraints = {
+    return audit.constraint_audit({n: getattr(t, n) for n in AUDITED}, star_constraints())
+
+
+AUDITED = ["orders", "lineitem", "customer", "documents", "labels"]
+
+
+def star_constraints() -> dict[str, audit.Constraints]:
+    """Constraints of the test tables, some of them broken."""
+    return {
         "orders": audit.Constraints(
             not_null=["o_orderkey"],
             unique=[["o_custkey", "o_orderdate"]],
@@ -846,7 +888,6 @@ def constraint_audit(t: Tables) -> DataFrame:
             unique=[["text"]], foreign_keys=[("doc_id", "labels", "doc_id")]
         ),
     }
-    return audit.constraint_audit({n: getattr(t, n) for n in names}, constraints)
 
 
 @query("""

@@ -122,6 +122,8 @@ def reload_sheet_csv(spark: SparkSession, path: str, width: int | None = None) -
     """Sheet rows from a folder written by :func:`write_sheet_csv`."""
     width = width or _width_of_lines(spark, path)
     schema = _schema(width).add("stem", T.StringType())
-    return spark.read.schema(schema).options(**_FORMAT).csv(path, header=False).select(
+    # a missing cell is unquoted, an empty text is quoted; no written cell reads \\N
+    reader = spark.read.schema(schema).options(nullValue="\\N", **_FORMAT)
+    return reader.csv(path, header=False).select(
         F.regexp_replace("stem", "_master$", "").alias("source_filename"), "row_idx", _cells(width, True)
     )

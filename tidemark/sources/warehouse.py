@@ -10,7 +10,6 @@ where earlier loads have put them (``sources/buckets.py``).
 from __future__ import annotations
 
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,9 +60,9 @@ _STORED: dict[str, T.StructType] = {
 }
 
 # Columns by which the rows of a load are laid out in folders, and those that bring the rows
-# of one folder into one task before they are written.
+# of one folder into one task before they are written, where they do not lie so already.
 _PARTITIONED = {
-    "dim_company_versions": (["is_current", "bucket"], ["bucket"]),
+    "dim_company_versions": (["is_current", "bucket"], []),
     "known_hashes": (["hash_prefix"], ["hash_prefix"]),
 }
 
@@ -83,15 +82,13 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def create(self) -> None:
-        """Create the folders that are absent: the log of runs, and what reads need."""
-        stored = sorted({**_STORED, "run_events": _EVENT}.items())
-        with ThreadPoolExecutor(len(stored)) as pool:
-            done = [pool.submit(self._create, name, schema) for name, schema in stored]
-            for job in done:
-                job.result()
-
-    def _create(self, name: str, schema: T.StructType) -> None:
-        rows(self.spark, schema, 0).write.mode("ignore").parquet(self.path(name))
+        """Create the folders that are absent. Reads go by the fixed schemas, so an empty
+        folder is an empty table."""
+        context = self.spark.sparkContext
+        conf, make = context._jsc.hadoopConfiguration(), context._jvm.org.apache.hadoop.fs.Path
+        for name in (*_STORED, "run_events"):
+            path = make(self.path(name))
+            path.getFileSystem(conf).mkdirs(path)
 
     # -- writing ------------------------------------------------------------------
 
@@ -100,7 +97,8 @@ class Warehouse:
         path = f"{self.path(name)}/load_id={load_id}"
         if name in _PARTITIONED:
             folders, together = _PARTITIONED[name]
-            df.repartition(*together).write.mode("overwrite").partitionBy(*folders).parquet(path)
+            df = df.repartition(*together) if together else df
+            df.write.mode("overwrite").partitionBy(*folders).parquet(path)
         else:
             df.write.mode("overwrite").parquet(path)
 
@@ -156,7 +154,7 @@ class Warehouse:
     # -- reading ------------------------------------------------------------------
 
     def _visible(self) -> DataFrame:
-        return self.events().filter("status = 'success'").select("load_id").distinct()
+        return self.events().filter("status = 'success'").select("load_id")
 
     def read(self, name: str) -> DataFrame:
         """A warehouse table as of the last successful load."""

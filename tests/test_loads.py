@@ -210,6 +210,10 @@ def test_quarantine_and_replay(spark, tmp_path):
     result = run_batch(spark, root, str(folder), "r1", on_failure=QUARANTINE)
     assert (result.staged, result.loaded, result.skipped, result.quarantined) == (3, 1, 0, 2)
     wh = Warehouse(spark, root)
+    reports = {r.source_filename: r for r in wh.read("quality_report").collect()}
+    assert reports["corporates_A_1.xlsm"].status != "FAILED" and reports["bad_1.xlsm"].status == "FAILED"
+    assert [f.field for f in reports["bad_1.xlsm"].failures if f.severity == "CRITICAL"] == ["currency"]
+    assert reports["bad_1.xlsm"].completeness_pct == 100.0
     waiting = {r.source_filename: r for r in still_quarantined(wh).collect()}
     assert set(waiting) == {"bad_1.xlsm", "bad_2.xlsm"} and len(waiting["bad_1.xlsm"].reasons) == 1
     corrected = still_quarantined(wh).withColumn("currency", F.upper("currency"))

@@ -48,7 +48,10 @@ _STORED: dict[str, T.StructType] = {
         [T.StructField(n, T.StringType()) for n in ("source_filename", "rated_entity")]
         + [T.StructField(n, T.IntegerType())
            for n in ("total_checks", "passed", "failed_critical", "failed_warning")]
-        + [T.StructField(n, T.StringType()) for n in ("status",)]
+        + [T.StructField(n, T.DoubleType()) for n in ("completeness_pct", "validity_pct")]
+        + [T.StructField("failures", T.ArrayType(T.StructType(
+            [T.StructField(n, T.StringType()) for n in ("field", "rule", "severity", "message")]
+        ))), T.StructField("status", T.StringType())]
     ),
     "quarantine": T.StructType(
         RAW_RECORD.fields

@@ -197,3 +197,14 @@ def test_csv_of_many_sheets_is_a_few_files(spark, tmp_path):
     found = {r.source_filename: r.cells[0].text for r in reload_sheet_csv(spark, str(out)).collect()}
     expected = {f"s{i},": f"v{2 if f's{i}' < 's2' else 1}, {i}" for i in range(300)}
     assert found == expected | {None: "v1, 0"}
+
+
+def test_rows_of_a_sheet_meet_before_they_are_sorted(spark):
+    cells = "array(NULL, named_struct('kind', 's', 'text', 'Rated entity'), named_struct('kind', 's', 'text', concat('n', id)))"
+    rows = spark.range(20).selectExpr("concat(id % 5, '.xlsm') AS source_filename", "CAST(id AS int) AS row_idx", f"{cells} AS cells")
+    records = parse_records(rows)
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan
+    # aggregates print above what they read: none stands below the exchange of the rows
+    assert "SortAggregate" not in plan.split("REPARTITION_BY_COL")[1]
+    assert {r.source_filename: r.rated_entity for r in records.collect()} == {f"{i}.xlsm": f"n{i + 15}" for i in range(5)}

@@ -122,10 +122,12 @@ def parse_records(sheet_rows: DataFrame) -> DataFrame:
     series = [m for m in EXPECTED_METRICS if m != LIQUIDITY_SERIES]
     notch, second = f"{LIQUIDITY_LABEL} 1", f"{LIQUIDITY_LABEL} 2"
     wanted = {text for text, _ in SHEET_LABELS.values()} | {*series, METRICS_HEADER, notch, second}
-    known = F.when(F.col("label").isin(sorted(wanted)), F.col("label")).otherwise("")
-    last = last_value_per_key(
-        slots.withColumn("label", known), [*file, "label"], "row_idx", ["cells"]
-    )
+    is_known = F.coalesce(F.col("label").isin(sorted(wanted)), F.lit(False))
+    known = F.when(is_known, F.col("label")).otherwise("")
+    # Cells have no fixed size, so the aggregates sort their rows. The rows of a sheet meet
+    # first: a task then sorts what the shuffle gives it, not all rows that its input unfolds to.
+    rows = slots.select(*file, "row_idx", F.when(is_known, F.col("cells")).alias("cells"), known.alias("label"))
+    last = last_value_per_key(rows.repartition(*file), [*file, "label"], "row_idx", ["cells"])
     # At most one row per known label is left of each sheet, so this list is short.
     wide = last.groupBy(*file).agg(
         F.map_from_entries(F.collect_list(F.struct("label", "cells"))).alias("_rows")

@@ -178,3 +178,11 @@ def test_position_in(spark, n):
     for r in rows.collect():
         expected = sum(b <= r["v"] for b in bounds)
         assert (r["a"], r["b"]) == (expected, expected)
+
+
+def test_dense_ids_of_a_table_come_from_several_tasks(spark):
+    rows = spark.range(120_000).selectExpr("id", "reverse(CAST(id AS string)) AS k")
+    found = dense_ids(rows, ["k", "id"], "n", 7).withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.task for r in found}) > 1
+    expected = sorted((str(i)[::-1], i) for i in range(120_000))
+    assert sorted((r.n, r.k, r.id) for r in found) == [(8 + at, *pair) for at, pair in enumerate(expected)]

@@ -6,13 +6,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.sheets import A_1, B_1, workbook, write_workbooks
+from tidemark.operators import ordered
 from tidemark.operators.audit import Constraints, constraint_audit
 from tidemark.operators.dedup import new_content
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.rules import QualityGateError
+from tidemark.plans import audit_state, runs
 from tidemark.plans.audit_state import AuditState
 from tidemark.plans.latest_state import LatestState
 from tidemark.plans.runs import QUARANTINE, replay, run_batch, still_quarantined
+from tidemark.schemas import RAW_RECORD
 from tidemark.sources.buckets import BucketedTable
 from tidemark.sources.sheet_csv import read_sheet_csv, reload_sheet_csv, write_sheet_csv
 from tidemark.sources.warehouse import Warehouse
@@ -254,3 +257,46 @@ def test_csv_of_other_writers(spark, tmp_path):
         csv.writer(file).writerows([[0, "", "Rated entity", "line one\nline two, still"], [1, *["x,"] * 20, 'quote "q"']])
     rows = {r.row_idx: [c and c.text for c in r.cells] for r in read_sheet_csv(spark, str(tmp_path)).collect()}
     assert rows[0][:3] == [None, "Rated entity", "line one\nline two, still"] and rows[1] == ["x,"] * 20 + ['quote "q"']
+
+
+def test_a_load_in_several_ranges(spark, tmp_path, monkeypatch):
+    """More records than a task takes: numbers follow the file names, versions close each other."""
+    monkeypatch.setattr(ordered, "ROWS_PER_RANGE", 2)
+    monkeypatch.setattr(runs, "ROWS_PER_RANGE", 2)
+    monkeypatch.setattr(runs, "BUCKETS", 1)
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    warehouse.create()
+    names = [f.name for f in RAW_RECORD.fields]
+    known = {
+        "source_filename": "concat('f', 9 - id, '.xlsm')", "rated_entity": "concat('E', id % 2)", "sector": "'S'",
+        "country": "concat('C', id)", "currency": "'EUR'", "accounting_principles": "'IFRS'",
+        "business_year_end": "'May'", "methodology_1": "'M'", "industry_risk_1": "'I'",
+        "industry_risk_score_1": "'BBB'", "industry_weight_1": "1.0",
+    }
+    types = {f.name: f.dataType.simpleString() for f in RAW_RECORD.fields}
+    records = spark.range(10).selectExpr(*[f"CAST({known.get(n, 'NULL')} AS {types[n]}) AS {n}" for n in names])
+    mtimes = records.selectExpr("source_filename", "current_timestamp() AS file_modified_at")
+    run = warehouse.begin_run("first")
+    with runs.reported_run(warehouse, run) as counts:
+        counts.update(runs.load_records(warehouse, records, mtimes, run))
+    assert counts["loaded"] == 10
+    fresh = spark.read.parquet(f"{warehouse.path('fresh')}/load_id={run['load_id']}")
+    assert len({r["f"] for r in fresh.select(F.input_file_name().alias("f")).collect()}) > 1
+    log = sorted((r.upload_id, r.source_filename) for r in warehouse.read("upload_log").collect())
+    assert log == [(i + 1, f"f{i}.xlsm") for i in range(10)]
+    versions = sorted((r.entity_name, r.valid_from, r.valid_to, r.country) for r in warehouse.read("dim_company").filter("NOT is_current").collect())
+    assert [(v[0], v[3]) for v in versions] == [("E0", "C8"), ("E0", "C6"), ("E0", "C4"), ("E0", "C2"), ("E1", "C9"), ("E1", "C7"), ("E1", "C5"), ("E1", "C3")]
+    assert all(a[2] == b[1] for a, b in zip(versions, versions[1:]) if a[0] == b[0])
+
+
+def test_keys_of_large_loads_lie_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(audit_state, "KEYS_PER_TASK", 5)
+    constraints = {"t": Constraints(unique=[["a"]], foreign_keys=[("b", "p", "b")])}
+    state = audit_state.AuditState(spark, str(tmp_path / "state"), constraints, digits=1)
+    rows = spark.range(400).selectExpr("id DIV 2 AS a", "id AS b")
+    state.load({"t": rows}, "one")
+    state.load({"t": rows.filter("a < 10"), "p": spark.range(100).selectExpr("id AS b")}, "two")
+    found = {r["constraint"]: r["violations"] for r in state.violations().collect()}
+    assert found == {"UNIQUE a": 220, "FOREIGN KEY b -> p.b": 300}
+    folder = next((tmp_path / "state/keys/load_id=one").glob("constraint=UNIQUE*"))
+    assert max(len(list(d.glob("*.parquet"))) for d in folder.glob("digit=*")) > 1

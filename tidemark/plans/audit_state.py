@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.audit import Constraints, row_checks
+from tidemark.operators.ordered import in_ranges
 from tidemark.sources.buckets import inline_rows
 
+KEYS_PER_TASK = 1_000_000  # that are sorted by folder together
+
 _FOUND = T.StructType(
     [T.StructField("table_name", T.StringType()), T.StructField("constraint", T.StringType()),
      T.StructField("violations", T.LongType())]
@@ -22,13 +25,12 @@ _KEYS = T.StructType(
 )
 
 
-def _joined_key(columns: list[str], digits: int) -> tuple[Column, Column]:
-    """A key as one text, null where a part of it is null, and the folder it belongs to."""
+def _joined_key(columns: list[str]) -> Column:
+    """A key as one text, null where a part of it is null."""
     parts = [F.col(c).cast("string") for c in columns]
     some_null = reduce(lambda a, b: a | b, [p.isNull() for p in parts])
     # a JSON array: no two different keys read alike
-    key = F.when(~some_null, F.to_json(F.array(*parts)))
-    return key, F.substring(F.sha2(key, 256), 1, digits)
+    return F.when(~some_null, F.to_json(F.array(*parts)))
 
 
 class AuditState:
@@ -80,18 +82,25 @@ class AuditState:
 
     def load(self, tables: Mapping[str, DataFrame], load_id: str) -> None:
         """Bring in the new rows of some or all tables."""
-        batch = self._batch_keys(tables, load_id)
+        batch, rows = self._batch_keys(tables, load_id)
         stored = self._read("keys", _KEYS, self.loads)
         is_child = F.col("constraint").startswith("CHILD")
         same = ["constraint", "digit", "key"]
 
         marks = batch.filter(~is_child)
-        known = stored.join(marks.select(*same), same, "left_semi")
-        fresh = marks.join(known.select(*same), same, "left_anti")
+        # keys of a constraint that no earlier load has stored are all new: nothing to compare
+        earlier = F.col("constraint").isin([r[0] for r in stored.select("constraint").distinct().collect()])
+        known = stored.join(marks.filter(earlier).select(*same), same, "left_semi")
+        fresh = marks.filter(earlier).join(known.select(*same), same, "left_anti").unionByName(marks.filter(~earlier))
         place = f"{self.root}/keys/load_id={load_id}"
         folders = ["constraint", "digit"]
         kept = fresh.unionByName(batch.filter(is_child)).select(*_KEYS.names)
-        kept.repartition(*folders).write.mode("overwrite").partitionBy(*folders).parquet(place)
+        # a task sorts its rows by folder: large folders come in several pieces, one file each
+        pieces = in_ranges(rows, KEYS_PER_TASK * 16**self.digits)
+        pieced = kept.repartition(*folders) if pieces == 1 else kept.repartition(
+            pieces * 16**self.digits, *folders, F.pmod(F.hash("key"), F.lit(pieces))
+        )
+        pieced.write.mode("overwrite").partitionBy(*folders).parquet(place)
         fresh = self.spark.read.schema(_KEYS).parquet(place).filter(~is_child)
 
         repeated = batch.filter(F.col("constraint").startswith("UNIQUE")).select("constraint", "n").unionByName(
@@ -119,19 +128,21 @@ class AuditState:
         rows.write.mode("overwrite").parquet(f"{self.root}/rows/load_id={load_id}")
         self.loads.append(load_id)
 
-    def _batch_keys(self, tables: Mapping[str, DataFrame], load_id: str) -> DataFrame:
-        """The keys of the new rows with how often they occur, written once."""
+    def _batch_keys(self, tables: Mapping[str, DataFrame], load_id: str) -> tuple[DataFrame, int]:
+        """The keys of the new rows with how often they occur, written once, and their number."""
         parts = []
         for label, (name, columns, _) in (self.unique | self.child | self.parent).items():
             if name in tables:
-                key, digit = _joined_key(columns, self.digits)
-                keys = tables[name].select(key.alias("key"), digit.alias("digit")).filter("key IS NOT NULL")
-                counted = keys.groupBy("key", "digit").agg(F.count(F.lit(1)).alias("n"))
-                parts.append(counted.withColumn("constraint", F.lit(label)).select(*_KEYS.names))
+                keys = tables[name].select(_joined_key(columns).alias("key")).filter("key IS NOT NULL")
+                counted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+                digit = F.substring(F.sha2("key", 256), 1, self.digits)
+                named = counted.withColumns({"constraint": F.lit(label), "digit": digit})
+                parts.append(named.select(*_KEYS.names))
         place = f"{self.root}/batch/load_id={load_id}"
-        empty = inline_rows(self.spark, _KEYS, [])
-        reduce(DataFrame.unionByName, parts, empty).write.mode("overwrite").parquet(place)
-        return self.spark.read.schema(_KEYS).parquet(place)
+        empty, seen = inline_rows(self.spark, _KEYS, []), Observation()
+        found = reduce(DataFrame.unionByName, parts, empty).observe(seen, F.count(F.lit(1)).alias("n"))
+        found.write.mode("overwrite").parquet(place)
+        return self.spark.read.schema(_KEYS).parquet(place), seen.get["n"]
 
     def _with_parent(self, children: DataFrame) -> DataFrame:
         pairs = [F.lit(x) for pair in self.parent_of.items() for x in pair]

@@ -128,3 +128,15 @@ def test_near_misses_in_a_bucket_come_to_few_links(spark, monkeypatch):
     found = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()}
     assert found == {i: find(i) for i in range(300)}
     assert links[0] <= 300 * near_dedup.BANDS
+
+
+def test_token_ids_are_held_in_four_bytes():
+    import public_tokenizers
+
+    from tidemark.llm.token_files import wordwise_encoder
+
+    encoder = wordwise_encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    ids, counts = encoder.encode(["Plain words, twice: plain words.", "", "日本 it's odd"])
+    assert ids.dtype.itemsize == 4 and counts[1] == 0
+    whole = [encoder.library.encode(t, add_special_tokens=False).ids for t in ("Plain words, twice: plain words.", "日本 it's odd")]
+    assert ids.tolist() == whole[0] + whole[1]

@@ -22,9 +22,9 @@ from tidemark.llm.token_coder import decode_ids, encode_ids
 from tidemark.llm.words import mixed, small_batches
 
 PART_BYTES = 16 << 20
-FLUSH_IDS = 1 << 22
-READ_BLOCKS = 1024
-KNOWN_WORDS = 2_000_000
+FLUSH_IDS = 1 << 21  # ids coded together: about 35 bytes each in the coder's tables
+READ_BLOCKS = 512
+KNOWN_WORDS = 500_000
 _ENCODERS: dict[str, "WordwiseEncoder"] = {}
 
 
@@ -54,10 +54,10 @@ class WordwiseEncoder:
 
     def forget(self) -> None:
         self.known = np.zeros(0, dtype=np.uint64)
-        self.at, self.ids = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.at, self.ids = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int32)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.int64) for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, dtype=np.int32) for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts behind one another, and how many each text has."""

@@ -6,11 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.sheets import A_1, B_1, workbook, write_workbooks
-from tidemark.operators import ordered
+from tidemark.operators import dedup, ordered
 from tidemark.operators.audit import Constraints, constraint_audit
 from tidemark.operators.dedup import new_content
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.rules import QualityGateError
+from tidemark.operators.scd2 import continue_versions
 from tidemark.plans import audit_state, runs
 from tidemark.plans.audit_state import AuditState
 from tidemark.plans.latest_state import LatestState
@@ -109,6 +110,32 @@ def test_history_is_pruned_by_prefix(spark, tmp_path):
     assert "dynamicpruning" in fresh._jdf.queryExecution().executedPlan().toString()
 
 
+def test_keys_of_a_large_batch_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Catalyst takes the few bytes of a file for the size of its keys; a known bound counts more."""
+    hashed = spark.range(2000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("data_hash"), F.concat(F.lit("e"), F.col("id") % 50).alias("entity"), "id"
+    )
+    hashed.write.parquet(str(tmp_path / "b"))
+    batch = spark.read.parquet(str(tmp_path / "b"))
+    many = spark.range(5_000_000).select(F.sha2(F.col("id").cast("string"), 256).alias("data_hash"))
+    old = spark.range(5_000_000).select(F.concat(F.lit("e"), F.col("id")).alias("entity"), F.lit("a").alias("v"), F.col("id").alias("key"))
+
+    def plans(at_most):
+        fresh = new_content(batch, many, ["data_hash"], ["id"], at_most=at_most)
+        new = batch.select("entity", "id", F.lit("b").alias("v"))
+        carried = continue_versions(
+            new, old, ["entity"], ["id"], ["v"], "id", "key", at_most=at_most, entities=batch.select("entity")
+        )
+        return [df._jdf.queryExecution().executedPlan().toString() for df in (fresh, carried)]
+
+    assert all("BroadcastExchange" in plan for plan in plans(2000))
+    monkeypatch.setattr(dedup, "BROADCAST_KEYS", 1999)
+    assert not any("Broadcast" in plan for plan in plans(2000))
+    history = hashed.filter("id < 1500").select("data_hash")
+    found = new_content(batch.unionByName(batch), history, ["data_hash"], ["id"], at_most=4000)
+    assert sorted(r.id for r in found.collect()) == list(range(1500, 2000))
+
+
 # --- audit ------------------------------------------------------------------------------------
 
 
@@ -282,6 +309,8 @@ def test_a_load_in_several_ranges(spark, tmp_path, monkeypatch):
     assert counts["loaded"] == 10
     fresh = spark.read.parquet(f"{warehouse.path('fresh')}/load_id={run['load_id']}")
     assert len({r["f"] for r in fresh.select(F.input_file_name().alias("f")).collect()}) > 1
+    # what is sorted to number the records is narrow, however wide they are
+    assert sorted(fresh.columns) == ["_place", "_row", "entity_name", "source_filename"]
     log = sorted((r.upload_id, r.source_filename) for r in warehouse.read("upload_log").collect())
     assert log == [(i + 1, f"f{i}.xlsm") for i in range(10)]
     versions = sorted((r.entity_name, r.valid_from, r.valid_to, r.country) for r in warehouse.read("dim_company").filter("NOT is_current").collect())

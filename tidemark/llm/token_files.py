@@ -7,6 +7,7 @@ documents of the part, in order). Parts are ranges of the key in ascending order
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -22,12 +23,24 @@ from tidemark.llm.token_coder import decode_ids, encode_ids
 from tidemark.llm.words import mixed, small_batches
 
 PART_BYTES = 16 << 20
-FLUSH_IDS = 1 << 21  # ids coded together: about 35 bytes each in the coder's tables
-READ_BLOCKS = 512
-KNOWN_WORDS = 500_000
+FLUSH_IDS = 1 << 23  # ids coded together: about 12 bytes each in the coder's tables
+READ_BLOCKS = 2048
+KNOWN_WORDS = 1_000_000  # about 40 bytes each
+LINES = 200
+BASE = 0xD1342543DE82EF95
 _ENCODERS: dict[str, "WordwiseEncoder"] = {}
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    """Powers of an odd number modulo 2^64, built by doubling."""
+    out = np.ones(max(n, 1), dtype=np.uint64)
+    done = 1
+    while done < n:
+        out[done : 2 * done] = out[: min(done, n - done)] * np.uint64(pow(base, done, 1 << 64))
+        done *= 2
+    return out
+
+
 class WordwiseEncoder:
     """The tokenizers library, asked once per distinct pre-token.
 
@@ -48,51 +61,56 @@ class WordwiseEncoder:
         for code in range(self.LATIN):
             text = chr(code)
             self.kind[code] = 0 if re.match(r"\s", text) and code not in range(0x1C, 0x20) else 1 if text.isalpha() else 2 if text.isnumeric() else 3
-        self.usable = np.ones(self.LATIN, dtype=bool)
-        self.usable[[0x27, *range(0x1C, 0x20), 0x85, 0xAA, 0xBA]] = False  # apostrophe, and what counts differently elsewhere
+        self.usable = np.ones(self.LATIN + 1, dtype=bool)
+        self.usable[[0x27, *range(0x1C, 0x20), 0x85, 0xAA, 0xBA, self.LATIN]] = False  # apostrophe, and what counts differently elsewhere
+        self.values = mixed(np.arange(1, self.LATIN + 1, dtype=np.uint64))
+        line = self.whole(["\n"])[0]
+        self.line = int(line[0]) if len(line) == 1 else -1
         self.forget()
 
     def forget(self) -> None:
-        self.known = np.zeros(0, dtype=np.uint64)
-        self.at, self.ids = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int32)
+        self.known = np.zeros(0, dtype=np.uint64)  # hashes in order
+        self.entry, self.at, self.size, self.ids = (np.zeros(0, dtype=np.int32) for _ in range(4))  # their places in at and size
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.int32) for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, dtype=np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts behind one another, and how many each text has."""
         lengths = np.array([len(t) for t in texts], dtype=np.int64)
         codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
-        plain = codes < self.LATIN
-        plain &= self.usable[np.where(plain, codes, 0x27)]
-        row = np.repeat(np.arange(len(texts)), lengths)
         use = np.ones(len(texts), dtype=bool)
-        use[row[~plain]] = False
         if self.added:
             use[[i for i, t in enumerate(texts) if self.added.search(t)]] = False
-        odd = np.flatnonzero(~use)
-        inside = use[row]
-        codes, row = codes[inside], row[inside]
-        starts = self._starts(codes, row)
+        odd = np.flatnonzero(~self.usable.take(np.minimum(codes, self.LATIN)))
+        use[np.searchsorted(np.cumsum(lengths), odd, side="right")] = False
+        if not use.all():
+            codes = codes[np.repeat(use, lengths)]
+        codes = codes.astype(np.uint16)
+        inside = np.where(use, lengths, 0)
+        starts = self._starts(codes, inside)
         flat, counts = self._words(codes, starts)
-        per_row = np.bincount(row[starts], weights=counts, minlength=len(texts)).astype(np.int64) if len(starts) else np.zeros(len(texts), np.int64)
-        if not len(odd):
+        per_word = np.append(0, np.cumsum(counts))
+        edges = per_word[np.searchsorted(starts, np.append(0, np.cumsum(inside)))]
+        per_row = np.diff(edges)
+        if use.all():
             return flat, per_row
-        parts = np.split(flat, np.cumsum(per_row)[:-1])
-        for at, ids in zip(odd.tolist(), self.whole([texts[i] for i in odd.tolist()]), strict=True):
+        parts, left = np.split(flat, edges[1:-1]), np.flatnonzero(~use).tolist()
+        for at, ids in zip(left, self.whole([texts[i] for i in left]), strict=True):
             parts[at], per_row[at] = ids, len(ids)
         return np.concatenate(parts), per_row
 
-    def _starts(self, codes: np.ndarray, row: np.ndarray) -> np.ndarray:
+    def _starts(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Where pre-tokens begin: a space before a word belongs to it, other white space is
         one token but for its last character before a word."""
         if not len(codes):
             return np.zeros(0, dtype=np.int64)
-        kind = self.kind[codes]
-        first = np.concatenate(([True], row[1:] != row[:-1]))
-        last = np.concatenate((first[1:], [True]))
-        before = np.concatenate(([0], kind[:-1]))
-        after = np.concatenate((kind[1:], [0]))
+        kind = self.kind.take(codes)
+        first = np.zeros(len(codes) + 1, dtype=bool)
+        first[np.append(0, np.cumsum(lengths))] = True
+        first, last = first[:-1], first[1:]
+        before = np.concatenate(([0], kind[:-1])).astype(np.uint8)
+        after = np.concatenate((kind[1:], [0])).astype(np.uint8)
         after_space = np.concatenate(([False], codes[:-1] == 0x20)) & ~first
         white = kind == 0
         begins = ~white & (first | (kind != before)) & ~after_space
@@ -102,13 +120,13 @@ class WordwiseEncoder:
 
     def _words(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(starts):
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+            return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
         length = np.diff(np.append(starts, len(codes)))
-        inner = np.arange(len(codes)) - np.repeat(starts, length)
-        powers = np.full(int(length.max()), 0xD1342543DE82EF95, dtype=np.uint64)
-        powers[0] = 1
-        value = mixed(codes.astype(np.uint64) + np.uint64(1)) * np.multiply.accumulate(powers)[inner]
-        hashed, example, which = np.unique(mixed(np.add.reduceat(value, starts)), return_index=True, return_inverse=True)
+        value = self.values.take(codes)
+        value *= _powers(BASE, len(codes))
+        value = np.add.reduceat(value, starts) * _powers(pow(BASE, -1, 1 << 64), len(codes)).take(starts)
+        found = pa.array(mixed(value)).dictionary_encode()
+        hashed, which = found.dictionary.to_numpy(), found.indices.to_numpy()
         if len(self.known) > KNOWN_WORDS:
             self.forget()
         spot = np.searchsorted(self.known, hashed)
@@ -116,27 +134,62 @@ class WordwiseEncoder:
         inside = spot < len(self.known)
         new[inside] = self.known[spot[inside]] != hashed[inside]
         if new.any():
-            begin, size = starts[example[new]], length[example[new]]
-            text = codes.astype("<u4").tobytes()
-            found = self.whole([text[4 * a : 4 * (a + n)].decode("utf-32-le") for a, n in zip(begin.tolist(), size.tolist(), strict=True)])
-            counts = np.concatenate((np.diff(self.at), [len(f) for f in found]))
-            known = np.concatenate((self.known, hashed[new]))
-            order = np.argsort(known)
-            begins = np.cumsum(counts) - counts
-            ids = np.concatenate([self.ids, *found])
-            size = counts[order]
-            self.known, self.at = known[order], np.concatenate(([0], np.cumsum(size)))
-            take = np.arange(int(size.sum())) + np.repeat(begins[order] - self.at[:-1], size)
-            self.ids = ids[take]
+            example = np.empty(len(hashed), dtype=np.int64)
+            example[which[::-1]] = np.arange(len(which))[::-1]
+            ids, size = self._learn(codes, starts[example[new]], length[example[new]])
+            order = np.argsort(hashed[new])
+            place = np.searchsorted(self.known, hashed[new][order])
+            self.known = np.insert(self.known, place, hashed[new][order])
+            self.entry = np.insert(self.entry, place, len(self.size) + order)
+            self.at = np.append(self.at, (len(self.ids) + np.cumsum(size) - size).astype(np.int32))
+            self.size, self.ids = np.append(self.size, size.astype(np.int32)), np.append(self.ids, ids)
             spot = np.searchsorted(self.known, hashed)
-        word = spot[which]
-        count = np.diff(self.at)[word]
-        begin = np.cumsum(count) - count
-        return self.ids[np.arange(int(count.sum())) + np.repeat(self.at[word] - begin, count)], count
+        entry = self.entry.take(spot)
+        count = self.size.take(entry).take(which).astype(np.int64)
+        begin = self.at.take(entry).take(which).astype(np.int64)
+        begin -= np.cumsum(count) - count
+        place = np.repeat(begin, count)
+        place += np.arange(len(place))
+        return self.ids.take(place), count
+
+    def _learn(self, codes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new words, and how many each has. The library gets many words that are not white
+        space as one text of a word a line, where it cuts the same words; lines are told by their id."""
+        lines = self.kind.take(codes.take(begin + size - 1)) != 0
+        order = np.argsort(~lines, kind="stable")
+        begin, size, n = begin[order], size[order], int(np.count_nonzero(lines))
+        ends = np.cumsum(size + 1)
+        text = np.full(int(ends[-1]), 0x0A, dtype="<u4")
+        text[np.arange(len(text)) != np.repeat(ends - 1, size + 1)] = codes.take(np.arange(int(size.sum())) + np.repeat(begin - np.cumsum(size) + size, size))
+        ends = np.append(0, ends)
+
+        def words(a: int, b: int) -> str:
+            return text[ends[a] : ends[b] - 1].tobytes().decode("utf-32-le")
+
+        chunks = [(a, min(a + LINES, n)) for a in range(0, n, LINES)]
+        ids, counts = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int64)]
+        for (a, b), found in zip(chunks, self.whole([words(a, b) for a, b in chunks]), strict=True):
+            line = found == self.line
+            cuts = np.concatenate(([-1], np.flatnonzero(line), [len(found)]))
+            if len(cuts) == b - a + 1 and (np.diff(cuts) > 1).all():
+                ids.append(found[~line])
+                counts.append(np.diff(cuts) - 1)
+            else:
+                alone = self.whole([words(i, i + 1) for i in range(a, b)])
+                ids += alone
+                counts.append(np.array([len(x) for x in alone]))
+        white = self.whole([words(i, i + 1) for i in range(n, len(order))])
+        size = np.concatenate([*counts, np.array([len(x) for x in white], dtype=np.int64)])
+        flat = np.concatenate([*ids, *white])
+        back = np.argsort(order)
+        at = (np.cumsum(size) - size)[back]
+        size = size[back]
+        return flat[np.arange(len(flat)) + np.repeat(at - np.cumsum(size) + size, size)], size
 
 
 def wordwise_encoder(path: str) -> WordwiseEncoder:
     if path not in _ENCODERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         _ENCODERS[path] = WordwiseEncoder(path)
     return _ENCODERS[path]
 

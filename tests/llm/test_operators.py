@@ -244,6 +244,34 @@ def test_words_encode_like_the_library():
         assert found.tolist() == wanted.tolist(), text
 
 
+def test_new_words_go_to_the_library_together(monkeypatch):
+    encoder = token_files.WordwiseEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    whole, calls = encoder.whole, []
+    monkeypatch.setattr(encoder, "whole", lambda texts: calls.extend(texts) or whole(texts))
+    texts = [" ".join(f"{a}{b} {a}{i}\n{b}{a}?" for b in "abcdefghijklm") for i, a in enumerate("nopqrstuvwxyzé")]
+    flat, counts = encoder.encode(texts)
+    assert len(encoder.known) > 300 and len(calls) < 20
+    assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == [x.tolist() for x in whole(texts)]
+    calls.clear()
+    again, _ = encoder.encode(texts[::-1])
+    assert not calls and sorted(again.tolist()) == sorted(flat.tolist())
+
+
+def test_blocks_of_any_ids_come_back():
+    rng = np.random.default_rng(3)
+    for ids in (
+        np.arange(65_535, 65_535 - 2 * 4096, -1), np.repeat([7, 0, 65_535], 3000), np.zeros(4097, np.int64), np.array([5]),
+        rng.zipf(1.3, 20_000) % 65_536, np.concatenate([rng.permutation(300) for _ in range(40)]),
+    ):
+        blocks, sizes = token_coder.encode_ids(ids)
+        order = rng.permutation(len(blocks))
+        back = token_coder.decode_ids([blocks[i] for i in order], [sizes[i] for i in order])
+        assert np.array_equal(np.concatenate([back[i] for i in np.argsort(order)]), ids)
+    assert token_coder.decode_ids([], []) == []
+    with pytest.raises(ValueError, match="a block of 5000"):
+        token_coder.encode_ids(np.arange(3), block_ids=5000)
+
+
 def test_token_files_of_odd_rows(spark, odd, empty):
     root, path = Stash(spark, "files").root, public_tokenizers.path("byte_bpe_50k.json")
     token_files.write_tokens(odd, f"{root}/odd", path)

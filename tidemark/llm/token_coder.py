@@ -225,8 +225,9 @@ def run_numbers(coder: Encoder | Decoder, sizes: np.ndarray, freqs: np.ndarray,
 
 def _number(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ids by first place, and each id's number among them; ``first`` is scratch."""
+    ids = ids.astype(np.int64)
     place = np.arange(len(ids), dtype=np.uint16)
-    first[ids[::-1]] = place[::-1]
+    np.put(first, ids[::-1], place[::-1])
     at = first.take(ids)
     new = at == place
     return ids[new], (np.cumsum(new, dtype=np.uint16) - np.uint16(1)).take(at)
@@ -245,6 +246,7 @@ def encode_ids(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> tuple[list[bytes]
     for lane, at in enumerate(starts):
         distinct, numbers[lane, : sizes[lane]] = _number(ids[at : at + block_ids], first)
         new.append(distinct.astype("<u2"))
+    del ids  # as large as the tables to come
     coder = Encoder(lanes, block_ids)
     kinds = run_kinds(coder, sizes, np.ascontiguousarray(numbers.T)).T
     symbols = coder.words()

@@ -22,9 +22,9 @@ from tidemark.llm.stash import total_bytes
 from tidemark.llm.token_coder import decode_ids, encode_ids
 from tidemark.llm.words import mixed, small_batches
 
-PART_BYTES = 16 << 20
-FLUSH_IDS = 1 << 23  # ids coded together: about 12 bytes each in the coder's tables
-READ_BLOCKS = 2048
+PART_BYTES = 32 << 20  # a coder's step costs little more for many blocks than for few
+FLUSH_IDS = 1 << 24  # ids coded together: about 18 bytes each in the coder's tables
+READ_BLOCKS = 4096
 KNOWN_WORDS = 1_000_000  # about 40 bytes each
 LINES = 200
 BASE = 0xD1342543DE82EF95
@@ -82,11 +82,11 @@ class WordwiseEncoder:
         use = np.ones(len(texts), dtype=bool)
         if self.added:
             use[[i for i, t in enumerate(texts) if self.added.search(t)]] = False
-        odd = np.flatnonzero(~self.usable.take(np.minimum(codes, self.LATIN)))
+        codes = np.minimum(codes, np.uint32(self.LATIN)).astype(np.int64)
+        odd = np.flatnonzero(~self.usable.take(codes))
         use[np.searchsorted(np.cumsum(lengths), odd, side="right")] = False
         if not use.all():
             codes = codes[np.repeat(use, lengths)]
-        codes = codes.astype(np.uint16)
         inside = np.where(use, lengths, 0)
         starts = self._starts(codes, inside)
         flat, counts = self._words(codes, starts)
@@ -215,7 +215,8 @@ def write_tokens(
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal block, held, waiting
-            coded, sizes = encode_ids(np.concatenate(held)) if held else ([], [])
+            held[:] = [np.concatenate(held)]
+            coded, sizes = encode_ids(held.pop())  # which holds the only copy
             n = len(coded)
             columns = [
                 pa.array([part] * n, pa.int32()), pa.array(range(block, block + n), pa.int32()), pa.array(sizes, pa.int64()),
@@ -272,14 +273,14 @@ def read_tokens(spark: SparkSession, path: str, key: str = "doc_id") -> DataFram
         payload = [p.as_py() for p in blocks.column("payload")]
         if [zlib.crc32(p) for p in payload] != blocks.column("crc32").to_pylist():
             raise ValueError("a block's checksum is wrong")
-        size, ids = blocks.column("n_ids").to_pylist(), [np.zeros(0, np.uint32)]
+        size, ids = blocks.column("n_ids").to_pylist(), [np.zeros(0, np.uint16)]
         for at in range(0, len(payload), READ_BLOCKS):
-            ids += [p.astype("<u4") for p in decode_ids(payload[at : at + READ_BLOCKS], size[at : at + READ_BLOCKS])]
-        flat = np.concatenate(ids).astype("<u4")
+            ids += decode_ids(payload[at : at + READ_BLOCKS], size[at : at + READ_BLOCKS])
+        flat = np.concatenate(ids)
         keys = index.column("keys").combine_chunks().flatten()
         counts = index.column("counts").combine_chunks().flatten().to_numpy()
         ends = np.cumsum(counts)
-        crcs = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
+        crcs = [zlib.crc32(flat[a:b].astype("<u4")) for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
         part = np.full(len(counts), rows.column("part")[0].as_py(), dtype=np.int32)
         return pa.table({"part": part, key: keys, "start": ends - counts, "n_tokens": counts, "ids_crc32": pa.array(crcs, pa.int64())})
 

@@ -133,7 +133,10 @@ class WordwiseEncoder:
         new = np.ones(len(hashed), dtype=bool)
         inside = spot < len(self.known)
         new[inside] = self.known[spot[inside]] != hashed[inside]
+        entry = np.empty(len(hashed), dtype=np.int64)
+        entry[~new] = self.entry.take(spot[~new])
         if new.any():
+            entry[new] = len(self.size) + np.arange(np.count_nonzero(new))
             example = np.empty(len(hashed), dtype=np.int64)
             example[which[::-1]] = np.arange(len(which))[::-1]
             ids, size = self._learn(codes, starts[example[new]], length[example[new]])
@@ -143,8 +146,6 @@ class WordwiseEncoder:
             self.entry = np.insert(self.entry, place, len(self.size) + order)
             self.at = np.append(self.at, (len(self.ids) + np.cumsum(size) - size).astype(np.int32))
             self.size, self.ids = np.append(self.size, size.astype(np.int32)), np.append(self.ids, ids)
-            spot = np.searchsorted(self.known, hashed)
-        entry = self.entry.take(spot)
         count = self.size.take(entry).take(which).astype(np.int64)
         begin = self.at.take(entry).take(which).astype(np.int64)
         begin -= np.cumsum(count) - count
